@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 
 #: Observations per payload document. A series longer than this becomes several parts.
 PART_SIZE = 10_000
+#: Positions within a document take this many bits of :func:`payload_order`.
+_POSITION_BITS = 20
 
 
 def pack_payload(
@@ -25,6 +27,8 @@ def pack_payload(
     ever holds more than ``part_size`` observations however long a series is;
     the parts of a series in ``part`` order are the whole series.
     """
+    if not 0 < part_size <= 1 << _POSITION_BITS:
+        raise ValueError(f"part_size must be between 1 and {1 << _POSITION_BITS}")
     obs = F.struct(F.col(pos).alias("_pos"), *[_json_value(rows, name) for name in fields])
     ordered = F.array_sort(F.collect_list(obs))
     without_pos = F.transform(ordered, lambda o: F.struct(*[o[name].alias(name) for name in fields]))
@@ -75,3 +79,8 @@ def scalar_payload(raw: DataFrame, schema: StructType, *keep: str) -> DataFrame:
     keep = keep or ("series_id",)
     fields = F.from_json("payload", schema, {"mode": "FAILFAST"})
     return raw.select(*keep, fields.alias("p")).select(*keep, *[F.col("p")[f.name].alias(f.name) for f in schema])
+
+
+def payload_order() -> Column:
+    """The position of an exploded row in its whole series, as one number."""
+    return F.shiftleft(F.col("part"), _POSITION_BITS) + F.col("pos")

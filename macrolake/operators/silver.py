@@ -19,13 +19,16 @@ class Field:
     unit: str
 
 
-def wide_to_long(wide: DataFrame, fields: list[Field], date: str = "obs_date") -> DataFrame:
-    """(obs_date, one column per field) -> (obs_date, indicator_code, unit, value), in one pass."""
+def wide_to_long(wide: DataFrame, fields: list[Field], *keep: str) -> DataFrame:
+    """(obs_date, one column per field) -> (obs_date, indicator_code, unit, value), in one pass.
+
+    ``keep`` names further columns to repeat on every row.
+    """
     cells: list[Column] = []
     for f in fields:
         cells += [F.lit(f.indicator_code), F.lit(f.unit), F.col(f.column).cast("double")]
     stacked = F.stack(F.lit(len(fields)), *cells).alias("indicator_code", "unit", "value")
-    return wide.select(F.col(date).alias("obs_date"), stacked)
+    return wide.select("obs_date", *keep, stacked)
 
 
 def dedupe_last(rows: DataFrame, pos: str | Column = "pos", value: str = "value", keys: list[str] | None = None) -> DataFrame:

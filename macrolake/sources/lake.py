@@ -51,6 +51,16 @@ def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     )
 
 
+def sink_overwrite_self(df: DataFrame, path: str, staging: str) -> None:
+    """Replace a dataset with a frame that reads the same dataset.
+
+    The result is first written to ``staging`` in the shared folder, so the
+    old files are only dropped once the new content is stored whole.
+    """
+    sink_overwrite(df, staging)
+    sink_overwrite(scan_parquet(df.sparkSession, staging, df.schema), path)
+
+
 def append_batch(
     payloads: DataFrame,
     path: str,
