@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from macrolake.operators.silver import Layer
 from macrolake.schemas import INDICATOR_DIM
@@ -53,7 +54,9 @@ FORECASTS = [(SET_INDEX.code, "set_monthly", "set_close"), (USDTHB.code, "fx_mon
 
 def dim_rows(spark: SparkSession, *indicators: Indicator) -> DataFrame:
     """Dimension rows of some indicators."""
-    return spark.createDataFrame(
-        [(i.code, i.name_th, i.name_en, i.category, i.unit, i.frequency, i.source, None) for i in indicators],
-        INDICATOR_DIM,
-    )
+    fields = ("code", "name_th", "name_en", "category", "unit", "frequency", "source")
+    rows = [
+        F.struct(*[F.lit(getattr(i, f)).alias(f) for f in fields], F.lit(None).cast("string").alias("description"))
+        for i in indicators
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows))).toDF(*INDICATOR_DIM.names)

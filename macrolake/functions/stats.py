@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 def exact_sum(value: str | Column, scale: int | None = None) -> Column:
     """Sum of a double column.
 
-    With ``scale`` the values are added as decimals of that many places, so
-    the sum does not depend on the order in which tasks deliver their parts.
+    With ``scale`` the values are taken as numbers of that many decimals and
+    added as whole multiples of the last one, so the sum does not depend on
+    the order in which tasks deliver their parts. Whole numbers are used
+    rather than decimals because they stay in fixed-width registers; a sum
+    beyond their range is an error, not a wrong result.
     """
     value = F.col(value) if isinstance(value, str) else value
     if scale is None:
         return F.sum(value)
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+    unit = F.lit(10.0**scale)
+    return F.sum(F.rint(value * unit).cast("bigint")) / unit
 
 
 def exact_avg(value: str | Column, scale: int | None = None) -> Column:
@@ -32,15 +36,10 @@ def paired_corr(a: str, b: str) -> Column:
     Null when there are no such rows or one column is constant; the built-in
     ``corr`` raises a division error there in ANSI mode.
     """
-    x, y = _paired(a, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    x, y = f"if(`{b}` is null, null, `{a}`)", f"if(`{a}` is null, null, `{b}`)"
+    return F.expr(f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))")
 
 
 def paired_count(a: str, b: str) -> Column:
     """Number of rows where both columns are present."""
-    return F.count(_paired(a, b)[0])
-
-
-def _paired(a: str, b: str) -> tuple[Column, Column]:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    return F.when(both, F.col(a)), F.when(both, F.col(b))
+    return F.expr(f"count_if(`{a}` is not null and `{b}` is not null)")

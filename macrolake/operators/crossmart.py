@@ -54,11 +54,10 @@ def dashboard_from_silver(
     the carried-forward policy rate are computed on its few rows, then a
     second aggregate turns indicators into columns.
     """
-    codes = [set_index, set_volume, fx, policy, cpi, bond]
     end = month_bucket(as_date(as_of))
     code = F.col("indicator_code")
     monthly = (
-        silver.filter(code.isin(codes))
+        silver.filter(code.isin([set_index, set_volume, fx, policy, cpi, bond]))
         .groupBy("indicator_code", month_bucket("obs_date").alias("obs_month"))
         .agg(
             F.max_by("value", "obs_date").alias("last"),
@@ -69,35 +68,39 @@ def dashboard_from_silver(
     )
     # The change is only taken for the two series that report one: a zero in
     # another series is not an error there.
-    reports_change = code.isin(set_index, fx)
     following = F.lead("obs_month").over(_in_month_order(SERIES))
     until = F.when(code == policy, F.coalesce(F.add_months(following, -1), end)).otherwise(F.col("obs_month"))
-    per_series = (
-        monthly.withColumn("mom", F.when(reports_change, pct_change("last", SERIES)))
-        .withColumn("until", until)
-        .withColumn("obs_month", F.explode(month_series(F.col("obs_month"), F.col("until"))))
+    per_series = monthly.select(
+        "*",
+        F.when(code.isin(set_index, fx), pct_change("last", SERIES)).alias("mom"),
+        until.alias("until"),
+    ).select(
+        "indicator_code", "last", "sum", "avg", "mom",
+        F.explode(month_series(F.col("obs_month"), F.col("until"))).alias("obs_month"),
+    )
+
+    def cell(series: str, column: str, name: str) -> Column:
+        return F.max(F.when(code == series, F.col(column))).alias(name)
+
+    return _with_real_rate(
+        per_series.groupBy("obs_month")
+        .agg(
+            cell(set_index, "last", "set_close"),
+            cell(set_index, "mom", "set_mom"),
+            cell(set_volume, "sum", "_volume"),
+            cell(fx, "last", "usdthb"),
+            cell(fx, "mom", "usdthb_mom"),
+            cell(policy, "last", "policy_rate"),
+            cell(cpi, "avg", "cpi_yoy"),
+            cell(bond, "avg", "bond_10y"),
+            F.count_if(code == set_index).alias("_index"),
+            F.count_if(code != set_volume).alias("_series"),
+        )
+        # Volume alone does not make a month: it joins the months of the index.
+        .filter("_series > 0")
+        .withColumn("set_volume", F.expr("if(_index > 0, _volume, null)"))
     )
 
-    def cell(series: str, column: str) -> Column:
-        return F.max(F.when(code == series, F.col(column)))
-
-    values = {
-        "set_close": cell(set_index, "last"),
-        "set_mom": cell(set_index, "mom"),
-        "set_volume": cell(set_volume, "sum"),
-        "usdthb": cell(fx, "last"),
-        "usdthb_mom": cell(fx, "mom"),
-        "policy_rate": cell(policy, "last"),
-        "cpi_yoy": cell(cpi, "avg"),
-        "bond_10y": cell(bond, "avg"),
-    }
-    # Volume alone does not make a month: it only joins months that have an index value.
-    present = F.count_if(code != set_volume)
-    has_index = F.count_if(code == set_index) > 0
-    values["set_volume"] = F.when(has_index, values["set_volume"])
-    wide = per_series.groupBy("obs_month").agg(present.alias("_n"), *[v.alias(k) for k, v in values.items()])
-    return _with_real_rate(wide.filter("_n > 0"))
-
 
 def _with_real_rate(wide: DataFrame) -> DataFrame:
     return wide.withColumn("real_rate", F.col("policy_rate") - F.col("cpi_yoy")).select(*DASHBOARD_COLUMNS)
@@ -114,22 +117,6 @@ def _pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
 
 
-def _as_pairs(aggregates: list[tuple[str, str, Column, Column]]) -> Column:
-    return F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("var1"),
-                    F.lit(b).alias("var2"),
-                    F.round(corr, 3).alias("correlation"),
-                    n.alias("n"),
-                )
-                for a, b, corr, n in aggregates
-            ]
-        )
-    )
-
-
 def corr_complete_case(dashboard: DataFrame) -> DataFrame:
     """The six pairs of the complete-case series, over the months where all four are present."""
     rows = dashboard.dropna(subset=COMPLETE_CASE)
@@ -141,14 +128,18 @@ def corr_pairwise(dashboard: DataFrame) -> DataFrame:
     return _correlate(dashboard, PAIRWISE)
 
 
-def _correlate(rows: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def _correlate(rows: DataFrame, pairs: list[tuple[str, str]], prefix: str = "") -> DataFrame:
+    """(var1, var2, correlation, n) of column pairs in one aggregate; ``prefix`` is not part of the names."""
     totals = rows.agg(
         *[paired_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
         *[paired_count(a, b).alias(f"n{i}") for i, (a, b) in enumerate(pairs)],
     )
-    return totals.select(
-        _as_pairs([(a, b, F.col(f"r{i}"), F.col(f"n{i}")) for i, (a, b) in enumerate(pairs)])
-    )
+    lines = [
+        f"named_struct('var1', '{a.removeprefix(prefix)}', 'var2', '{b.removeprefix(prefix)}', "
+        f"'correlation', round(r{i}, 3), 'n', n{i})"
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return totals.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def correlation_matrix(dashboard: DataFrame) -> DataFrame:
@@ -158,21 +149,12 @@ def correlation_matrix(dashboard: DataFrame) -> DataFrame:
     of pairs come out of the same aggregate. No months gives nine rows with a
     null correlation and n = 0.
     """
-    complete = F.lit(True)
-    for c in COMPLETE_CASE:
-        complete = complete & F.col(c).isNotNull()
-    masked = dashboard.select(
-        "bond_10y", *COMPLETE_CASE, *[F.when(complete, F.col(c)).alias(f"complete_{c}") for c in COMPLETE_CASE]
-    )
-    pairs = _pairs(COMPLETE_CASE)
-    named = [(a, b, f"complete_{a}", f"complete_{b}") for a, b in pairs] + [(a, b, a, b) for a, b in PAIRWISE]
-    totals = masked.agg(
-        *[paired_corr(x, y).alias(f"r{i}") for i, (_, _, x, y) in enumerate(named)],
-        *[paired_count(x, y).alias(f"n{i}") for i, (_, _, x, y) in enumerate(named)],
-    )
-    return totals.select(
-        _as_pairs([(a, b, F.col(f"r{i}"), F.col(f"n{i}")) for i, (a, b, _, _) in enumerate(named)])
+    complete = " and ".join(f"{c} is not null" for c in COMPLETE_CASE)
+    masked = dashboard.selectExpr(
+        "bond_10y", *COMPLETE_CASE, *[f"if({complete}, {c}, null) as complete_{c}" for c in COMPLETE_CASE]
     )
+    pairs = [(f"complete_{a}", f"complete_{b}") for a, b in _pairs(COMPLETE_CASE)]
+    return _correlate(masked, pairs + PAIRWISE, prefix="complete_")
 
 
 def corr_ranked(matrix: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Read queries over the gold layer.
 
-Gold has one row per month (and indicator). Single rows that decide a result,
-such as a bound or a count, are scalar subqueries or aggregates with partial
-results, so nothing here collects a table in one task.
+Gold has one row per calendar month (and indicator), so windows over the months
+of a mart or of an indicator are bounded by the calendar, not by the data.
+Results of any size (:func:`preview_with_total`) are counted and cut with
+partial results instead.
 """
 
 from __future__ import annotations
@@ -39,39 +40,42 @@ def latest_n_rows(dashboard: DataFrame, n: int = 3) -> DataFrame:
     return dashboard.orderBy(F.col("obs_month").desc()).limit(n)
 
 
+def _all_months():
+    """Every row of a frame that has one row per calendar month; never use it on more than that."""
+    return Window.partitionBy()
+
+
 def month_range(dashboard: DataFrame, lo: str | dt.date | Column, hi: str | dt.date | Column) -> DataFrame:
     """The months between two chosen months.
 
     A bound that is no present month snaps to the latest present month before
     it, or to the first month. The end is chosen first and the start may not
-    pass it.
+    pass it. The bounds are found in the same pass as the rows, so the
+    dashboard is evaluated once.
     """
     month = F.col("obs_month")
 
     def snap(bound: str | dt.date | Column) -> Column:
-        wanted = month_bucket(as_date(bound))
-        return dashboard.agg(
-            F.coalesce(F.max(F.when(month <= wanted, month)), F.min(month)).alias("m")
-        ).scalar()
+        before = F.when(month <= month_bucket(as_date(bound)), month)
+        return F.coalesce(F.max(before).over(_all_months()), F.min(month).over(_all_months()))
 
-    upper = snap(hi)
-    return dashboard.filter(month.between(F.least(snap(lo), upper), upper))
+    return (
+        dashboard.withColumns({"_lo": snap(lo), "_hi": snap(hi)})
+        .filter(month.between(F.least("_lo", "_hi"), F.col("_hi")))
+        .drop("_lo", "_hi")
+    )
 
 
 def latest_stats(dashboard: DataFrame) -> DataFrame:
     """Per headline metric: its last non-null value, that month, the change in that same row and its sign."""
-    picks = []
-    for metric, change in HEADLINE_METRICS.items():
-        row = F.struct(
-            F.lit(metric).alias("metric"),
-            F.col("obs_month"),
-            F.col(metric).alias("value"),
-            (F.lit(None).cast("double") if change is None else F.col(change)).alias("mom"),
-        )
-        picks.append(F.max_by(row, F.when(F.col(metric).isNotNull(), F.col("obs_month"))).alias(metric))
-    direction = F.when(F.col("mom") >= 0, "up").when(F.col("mom").isNotNull(), "down")
+    picks = [
+        f"""max_by(named_struct('metric', '{metric}', 'obs_month', obs_month, 'value', {metric},
+            'mom', {change or "cast(null as double)"}), if({metric} is null, null, obs_month)) as {metric}"""
+        for metric, change in HEADLINE_METRICS.items()
+    ]
+    direction = F.expr("case when mom >= 0 then 'up' when mom < 0 then 'down' end")
     return (
-        dashboard.agg(*picks)
+        dashboard.agg(*[F.expr(pick) for pick in picks])
         .select(F.inline(F.array(*HEADLINE_METRICS)))
         .filter(F.col("metric").isNotNull())
         .withColumn("direction", direction)
@@ -81,9 +85,13 @@ def latest_stats(dashboard: DataFrame) -> DataFrame:
 def trim_null_edges(dashboard: DataFrame, metric: str) -> DataFrame:
     """(obs_month, metric) from the first to the last non-null month, inner nulls kept."""
     present = F.when(F.col(metric).isNotNull(), F.col("obs_month"))
-    first = dashboard.agg(F.min(present).alias("m")).scalar()
-    last = dashboard.agg(F.max(present).alias("m")).scalar()
-    return dashboard.filter(F.col("obs_month").between(first, last)).select("obs_month", metric)
+    edges = {"_first": F.min(present).over(_all_months()), "_last": F.max(present).over(_all_months())}
+    return (
+        dashboard.select("obs_month", metric)
+        .withColumns(edges)
+        .filter(F.col("obs_month").between(F.col("_first"), F.col("_last")))
+        .drop("_first", "_last")
+    )
 
 
 def _month_order():
@@ -144,7 +152,7 @@ def extreme_month(dashboard: DataFrame, metric: str, year: int | None = None, hi
     value, month = F.col(metric), F.col("obs_month")
     rows = dashboard.filter(value.isNotNull())
     if year is not None:
-        rows = rows.filter(month.between(f"{year}-01-01", f"{year}-12-31"))
+        rows = rows.filter(month.between(as_date(f"{year}-01-01"), as_date(f"{year}-12-31")))
     # Earlier months sort higher, so a single maximum settles value and tie.
     rank = F.struct(value if highest else -value, -F.unix_date(month))
     return rows.groupBy(F.year(month).alias("year")).agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -97,35 +98,30 @@ def collapse_layers(rows: DataFrame, layers: list[Layer], tag: str = "series_id"
     combine; texts are attached after it.
     """
 
-    def by_layer(choices: list[Column], of: str) -> Column:
-        chosen = F.when(F.col(of) == 0, choices[0])
-        for rank, choice in enumerate(choices[1:], 1):
-            chosen = chosen.when(F.col(of) == rank, choice)
-        return chosen
-
-    ranks = F.when(F.col(tag) == layers[0].tag, F.lit(0))
-    for rank, layer in enumerate(layers[1:], 1):
-        ranks = ranks.when(F.col(tag) == layer.tag, F.lit(rank))
     best = (
         rows.filter(F.col(tag).isin([layer.tag for layer in layers]))
-        .withColumn("_rank", ranks)
+        .withColumn("_rank", F.array_position(_texts(layer.tag for layer in layers), F.col(tag)))
         .groupBy(*OBSERVATION_KEY)
         .agg(
             F.max("_rank").alias("_best"),
-            *[
-                F.max_by("value", F.when(F.col("_rank") == i, F.col("pos"))).alias(f"_value{i}")
-                for i in range(len(layers))
-            ],
+            *[F.expr(f"max_by(value, if(_rank = {i}, pos, null)) as _value{i}") for i in range(1, len(layers) + 1)],
         )
     )
+    values = F.array(*[f"_value{i}" for i in range(1, len(layers) + 1)])
     return best.select(
         *OBSERVATION_KEY,
-        by_layer([F.col(f"_value{i}") for i in range(len(layers))], "_best").alias("value"),
-        by_layer([F.lit(layer.source) for layer in layers], "_best").alias("source"),
-        by_layer([F.lit(layer.source_series_id) for layer in layers], "_best").alias("source_series_id"),
+        F.element_at(values, F.col("_best").cast("int")).alias("value"),
+        F.element_at(_texts(layer.source for layer in layers), F.col("_best").cast("int")).alias("source"),
+        F.element_at(_texts(layer.source_series_id for layer in layers), F.col("_best").cast("int")).alias(
+            "source_series_id"
+        ),
     )
 
 
+def _texts(values: Iterable[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def layered_upsert(target: DataFrame, collapsed: DataFrame) -> DataFrame:
     """Merge collapsed layers: on conflict value, source and source_series_id change."""
     return merge_by_key(target, collapsed, OBSERVATION_KEY, ["value", "source", "source_series_id"])

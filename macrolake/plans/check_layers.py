@@ -9,7 +9,18 @@ from macrolake.functions.dates import month_bucket as month_of
 from macrolake.functions.stats import exact_sum
 from macrolake.operators import crossmart, monthly, silver
 from macrolake.plans import inputs
-from macrolake.plans.inputs import AS_OF, SCALE, customer_obs, obs_long, obs_raw, set_daily, silver_rows, table
+from macrolake.plans.inputs import (
+    AS_OF,
+    SCALE,
+    customer_obs,
+    market_rows,
+    obs_long,
+    obs_raw,
+    order_rows,
+    set_daily,
+    silver_rows,
+    table,
+)
 from macrolake.plans.registry import check
 
 _CUSTOMER = ["custkey"]
@@ -223,22 +234,22 @@ def mom_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("set_monthly", f"WITH {inputs.MARTS} SELECT * FROM set_monthly")
 def set_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.set_monthly(silver_rows(spark, sf_dir), scale=SCALE)
+    return monthly.set_monthly(market_rows(spark, sf_dir), scale=SCALE)
 
 
 @check("fx_monthly", f"WITH {inputs.MARTS} SELECT * FROM fx_monthly")
 def fx_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.fx_monthly(silver_rows(spark, sf_dir))
+    return monthly.fx_monthly(order_rows(spark, sf_dir))
 
 
 @check("cpi_monthly", f"WITH {inputs.MARTS} SELECT * FROM cpi_monthly")
 def cpi_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.cpi_monthly(silver_rows(spark, sf_dir), scale=SCALE)
+    return monthly.cpi_monthly(order_rows(spark, sf_dir), scale=SCALE)
 
 
 @check("bond_monthly", f"WITH {inputs.MARTS} SELECT * FROM bond_monthly")
 def bond_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.bond_monthly(silver_rows(spark, sf_dir), scale=SCALE)
+    return monthly.bond_monthly(market_rows(spark, sf_dir), scale=SCALE)
 
 
 _CUSTOMER_MONTHS = f"""{inputs.CUSTOMER_OBS},
@@ -265,7 +276,7 @@ def asof_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("policy_rate_monthly", f"WITH {inputs.MARTS} SELECT * FROM policy_rate_monthly")
 def policy_rate_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.policy_rate_monthly(silver_rows(spark, sf_dir), AS_OF)
+    return monthly.policy_rate_monthly(order_rows(spark, sf_dir), AS_OF)
 
 
 @check(
@@ -294,7 +305,7 @@ check("dashboard_monthly", f"WITH {inputs.DASHBOARD} SELECT * FROM dashboard_mon
     FROM policy_rate_monthly JOIN cpi_monthly USING (obs_month)""",
 )
 def real_rate_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver_rows(spark, sf_dir)
+    rows = order_rows(spark, sf_dir)
     return crossmart.real_rate_monthly(
         monthly.policy_rate_monthly(rows, AS_OF), monthly.cpi_monthly(rows, scale=SCALE)
     )

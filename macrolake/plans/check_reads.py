@@ -10,7 +10,7 @@ from macrolake.functions import text
 from macrolake.operators import crossmart, forecast, monthly, quality, serving
 from macrolake.plans import inputs
 from macrolake.plans.check_layers import dashboard
-from macrolake.plans.inputs import AS_OF, SCALE, priority_panel, silver_rows, supplier_panel, table
+from macrolake.plans.inputs import AS_OF, SCALE, market_rows, priority_panel, silver_rows, supplier_panel, table
 from macrolake.plans.registry import check
 
 # --- forecasts ------------------------------------------------------------------------------
@@ -266,7 +266,7 @@ def dq_forecast_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("dq_enforce", f"WITH {inputs.MARTS} SELECT * FROM set_monthly")
 def dq_enforce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate in front of a mart: the mart is only built when every rule passes."""
-    rows = silver_rows(spark, sf_dir)
+    rows = market_rows(spark, sf_dir)
     rules = [quality.not_null("value"), quality.non_negative("value"), quality.min_rows(100)]
     quality.dq_enforce(quality.dq_report(rows, "silver", rules))
     return monthly.set_monthly(rows, scale=SCALE)

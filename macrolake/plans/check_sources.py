@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from macrolake import schemas
 from macrolake.operators import bronze, monthly, silver
 from macrolake.plans import inputs
-from macrolake.plans.inputs import obs_long, obs_raw, silver_rows, table
+from macrolake.plans.inputs import obs_long, obs_raw, table
 from macrolake.plans.registry import check
 from macrolake.session import shared_dir
 from macrolake.sources import lake, landed
@@ -48,7 +48,7 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("sink_truncate_load", f"WITH {inputs.MARTS} SELECT * FROM set_monthly")
 def sink_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
-    mart = monthly.set_monthly(silver_rows(spark, sf_dir), scale=inputs.SCALE)
+    mart = monthly.set_monthly(inputs.market_rows(spark, sf_dir), scale=inputs.SCALE)
     for _ in range(2):
         lake.sink_truncate_load(mart, path, schemas.SET_MONTHLY)
     return lake.scan_parquet(spark, path, schemas.SET_MONTHLY)

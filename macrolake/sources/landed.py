@@ -45,7 +45,12 @@ def optional_source(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("skipped optional source %s: not found", path)
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows under a schema; the optimizer sees the emptiness and drops what depends on it."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def normalize_monthly_series(rows: DataFrame) -> DataFrame:
