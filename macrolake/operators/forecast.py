@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 SEASON = 12
 PERIODS = 6
 MODEL = "holt-winters"
-#: Candidate smoothing weights of level, trend and season.
-GRID = (0.1, 0.3, 0.5, 0.7, 0.9)
+#: Candidate smoothing weights of level, trend and season. The ends matter: a price that
+#: moves like a random walk wants a level weight of one and a steady trend and season.
+GRID = (0.0, 0.1, 0.3, 0.6, 0.9, 1.0)
+#: Seasons at the start of a series that set the starting states.
+START_SEASONS = 5
 #: Half-width of the band in residual standard deviations.
 BAND_WIDTH = 1.96
 
@@ -63,11 +66,14 @@ def hw_fit(actuals: DataFrame, season: int = SEASON, grid: tuple[float, ...] = G
     """Fit every series; one row per series with its weights, final state and residual spread.
 
     Points are taken in month order as consecutive, gaps are not filled. The
-    starting level and trend come from the means of the first two seasons, the
-    starting season from the first one. The weights (alpha, beta, gamma) are
-    the grid point with the least sum of squared one-step errors, ties going
-    to the smaller weights. Series shorter than two seasons are left out; see
-    :func:`short_series` and :func:`require_two_seasons`.
+    starting states come from the centred moving average of up to five first
+    seasons: the season from the mean distance to it, level and trend from a
+    straight line through its first season. A series that is exactly a line
+    plus a season is therefore continued exactly. The weights (alpha, beta,
+    gamma) are the grid point with the least sum of squared one-step errors,
+    ties going to the smaller weights. ``season`` is even. Series shorter than
+    two seasons are left out; see :func:`short_series` and
+    :func:`require_two_seasons`.
     """
     fit = F.pandas_udf(_grid_search(season, grid), _FIT_TYPE)
     n = F.col("n").cast("double")
@@ -103,12 +109,11 @@ def _grid_search(season: int, grid: tuple[float, ...]):
 
     def smooth(y: np.ndarray) -> pd.DataFrame:
         """Fit series of equal length, one per row of ``y``; state arrays are series x grid."""
-        first = sum(y[:, i] for i in range(season)) / season
-        second = sum(y[:, season + i] for i in range(season)) / season
+        level0, trend0, season0 = _starting_states(y, season)
         shape = (len(y), len(alpha))
-        level = np.broadcast_to(first[:, None], shape)
-        trend = np.broadcast_to(((second - first) / season)[:, None], shape)
-        seasonals = [np.broadcast_to((y[:, i] - first)[:, None], shape) for i in range(season)]
+        level = np.broadcast_to(level0[:, None], shape)
+        trend = np.broadcast_to(trend0[:, None], shape)
+        seasonals = [np.broadcast_to(s[:, None], shape) for s in season0]
         sum_error = np.zeros(shape)
         sse = np.zeros(shape)
         for t in range(y.shape[1]):
@@ -151,6 +156,28 @@ def _grid_search(season: int, grid: tuple[float, ...]):
     return fit
 
 
+def _starting_states(y: np.ndarray, season: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Level and trend just before the first point, and one seasonal value per position; rows are series."""
+    half = season // 2
+    cycles = min(y.shape[1] // season, START_SEASONS)
+    centred = {}
+    for t in range(half, cycles * season - half):
+        total = 0.5 * y[:, t - half]
+        for i in range(t - half + 1, t + half):
+            total = total + y[:, i]
+        centred[t] = (total + 0.5 * y[:, t + half]) / season
+    raw = []
+    for p in range(season):
+        first = p + season if p < half else p
+        raw.append(sum(y[:, t] - centred[t] for t in range(first, first + season * (cycles - 1), season)) / (cycles - 1))
+    seasonals = [s - sum(raw) / season for s in raw]
+
+    middle = (season - 1) / 2
+    line = [centred[half + i] for i in range(season)]
+    slope = sum((i - middle) * c for i, c in enumerate(line)) / sum((i - middle) ** 2 for i in range(season))
+    return sum(line) / season - (half + middle + 1) * slope, slope, seasonals
+
+
 def hw_forecast(fits: DataFrame, periods: int = PERIODS) -> DataFrame:
     """The next ``periods`` months of each fitted series, rounded to cents (ties to even)."""
     return _project(fits, periods).select("indicator", "obs_month", F.bround("raw", 2).alias("yhat"))

@@ -121,8 +121,10 @@ def asof_month_end(
     Each observed month is repeated until the month before the next observed
     one. That yields the calendar spine by itself: no join of months with
     observations, equi or not. A latest observation that is null stays null.
+    Later observations are dropped by a plain date bound, which reaches the scan.
     """
-    return carry_forward(period_last(rows, keys, name), as_of, keys, name)
+    known = rows.filter(F.col("obs_date") <= F.last_day(as_date(as_of)))
+    return carry_forward(period_last(known, keys, name), as_of, keys, name)
 
 
 def carry_forward(

@@ -93,7 +93,7 @@ def fresh(column: str, as_of: str | dt.date | Column, max_days: int) -> Rule:
 
     def failures(_: StructType) -> Column:
         late = F.date_diff(as_date(as_of), F.max(column)) - F.lit(max_days)
-        return F.coalesce(F.greatest(late, F.lit(0)), F.lit(1)).cast("bigint")
+        return F.when(F.max(column).isNull(), 1).otherwise(F.greatest(late, F.lit(0))).cast("bigint")
 
     return Rule("fresh", column, failures)
 

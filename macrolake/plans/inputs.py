@@ -291,16 +291,28 @@ series AS (
   SELECT indicator, count(*) AS n, max(obs_month) AS last_month, list(value ORDER BY t) AS y
   FROM points GROUP BY 1 HAVING count(*) >= 24
 ),
-weights AS (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE, 0.5::DOUBLE, 0.7::DOUBLE, 0.9::DOUBLE]) AS w),
+weights AS (SELECT unnest([0.0::DOUBLE, 0.1::DOUBLE, 0.3::DOUBLE, 0.6::DOUBLE, 0.9::DOUBLE, 1.0::DOUBLE]) AS w),
+averages AS (
+  SELECT *, list_transform(range(7, 12 * cycles - 5), lambda t: list_reduce(
+      [0.5 * y[t - 6]] || y[t - 5 : t + 5] || [0.5 * y[t + 6]], lambda a, b: a + b) / 12) AS centred
+  FROM (SELECT *, CAST(least(n // 12, 5) AS INTEGER) AS cycles FROM series)
+),
+lines AS (
+  SELECT *, list_transform(range(1, 13), lambda p: list_reduce(list_transform(range(0, cycles - 1), lambda k:
+      y[p + 12 * (k + if(p <= 6, 1, 0))] - centred[p + 12 * (k + if(p <= 6, 1, 0)) - 6]), lambda a, b: a + b)
+      / (cycles - 1)) AS raw,
+    list_reduce(list_transform(range(1, 13), lambda i: (i - 6.5::DOUBLE) * centred[i]), lambda a, b: a + b) / 143 AS slope,
+    list_reduce(centred[1:12], lambda a, b: a + b) / 12 AS middle
+  FROM averages
+),
 starts AS (
-  SELECT indicator, n, last_month, y, list_reduce(y[1:12], lambda a, b: a + b) / 12 AS l0,
-         (list_reduce(y[13:24], lambda a, b: a + b) / 12 - list_reduce(y[1:12], lambda a, b: a + b) / 12) / 12 AS b0
-  FROM series
+  SELECT indicator, n, last_month, y, middle - 12.5::DOUBLE * slope AS l0, slope AS b0,
+         list_transform(raw, lambda r: r - list_reduce(raw, lambda a, b: a + b) / 12) AS s0
+  FROM lines
 ),
 steps AS (
   SELECT indicator, n, last_month, y, a.w AS alpha, b.w AS beta, c.w AS gamma, CAST(0 AS BIGINT) AS t,
-         l0 AS level, b0 AS trend, list_transform(y[1:12], lambda v: v - l0) AS seasonals,
-         CAST(0 AS DOUBLE) AS sum_error, CAST(0 AS DOUBLE) AS sse
+         l0 AS level, b0 AS trend, s0 AS seasonals, CAST(0 AS DOUBLE) AS sum_error, CAST(0 AS DOUBLE) AS sse
   FROM starts, weights a, weights b, weights c
   UNION ALL
   SELECT indicator, n, last_month, y, alpha, beta, gamma, t + 1, new_level,

@@ -70,7 +70,7 @@ def normalize_event_snapshot(records: DataFrame) -> DataFrame:
     The texts may be missing; ``raw`` keeps the whole record as JSON.
     """
     return records.select(
-        F.to_timestamp("effective_datetime", "yyyy-MM-dd HH:mm:ss").cast("date").alias("obs_date"),
+        F.to_timestamp_ntz("effective_datetime", F.lit("yyyy-MM-dd HH:mm:ss")).cast("date").alias("obs_date"),
         F.col("data").cast("double").alias("value"),
         F.col("news_text_th").alias("news_th"),
         F.col("news_text_en").alias("news_en"),
