@@ -33,10 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of this machine; on a
     cluster the executors could not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="macrolake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="macrolake-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/macrolake-{uuid.uuid4().hex}"
