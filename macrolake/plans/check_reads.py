@@ -27,9 +27,10 @@ _PRIORITY_FIT = f"WITH RECURSIVE {inputs.PRIORITY_PANEL}, {inputs.HOLT_WINTERS}"
     SELECT 'FX.USDTHB', obs_month, usdthb FROM dashboard_monthly WHERE usdthb IS NOT NULL""",
 )
 def actuals_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = dashboard(spark, sf_dir)
-    return forecast.actuals_series(marts, "set_close", "TH.SET_INDEX").unionByName(
-        forecast.actuals_series(marts, "usdthb", "FX.USDTHB")
+    index = monthly.set_monthly(market_rows(spark, sf_dir), scale=SCALE)
+    rate = monthly.fx_monthly(inputs.order_rows(spark, sf_dir))
+    return forecast.actuals_series(index, "set_close", "TH.SET_INDEX").unionByName(
+        forecast.actuals_series(rate, "usdthb", "FX.USDTHB")
     )
 
 

@@ -17,6 +17,8 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        spark__default__parallelism="2",
+        spark__python__sql__dataFrameDebugging__enabled="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

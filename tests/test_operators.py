@@ -491,29 +491,29 @@ STATEMENTS = [
 ]
 
 
-@pytest.mark.parametrize("statement,safe", STATEMENTS)
-def test_screening(spark, statement, safe):
-    row = spark.createDataFrame([(statement,)], "s string").select(text.is_safe_select("s")).first()
-    assert row[0] is safe
+def applied(spark, function, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, s string").withColumn("r", function("s"))
+    return [r["r"] for r in rows.orderBy("i").collect()]
 
 
-@pytest.mark.parametrize(
-    "raw,clean",
-    [
+def test_screening(spark):
+    got = applied(spark, text.is_safe_select, [s for s, _ in STATEMENTS])
+    assert list(zip([s for s, _ in STATEMENTS], got, strict=True)) == STATEMENTS
+
+
+def test_fences(spark):
+    cases = [
         ("```sql\nselect 1\n```", "select 1"),
         (" ```SQL   select 1```  ", "select 1"),
         ("select '```sql' from t", "select '```sql' from t"),
         ("```sql\n```sql\nx", "x"),
-        ("a\n```sql \nb\n```\nc", "a\nb\n\nc"),
+        ("a\n```sql \nb\n```\nc", "a\nb\n\nc"),
         ("```sql```", ""),
-        ("a ```sql b", "a ```sql b"),  # only a line feed ends a line
-    ],
-)
-def test_fences(spark, raw, clean):
-    row = spark.createDataFrame([(raw,)], "s string").select(text.strip_code_fence("s")).first()
-    assert row[0] == clean
+        ("a\u2028```sql b", "a\u2028```sql b"),  # only a line feed ends a line
+        ("\u3000no fence\x1f", "no fence"),
+    ]
+    assert applied(spark, text.strip_code_fence, [raw for raw, _ in cases]) == [clean for _, clean in cases]
 
 
 def test_reply(spark):
-    row = spark.createDataFrame([(" a — b—c\n",)], "s string").select(text.clean_reply_text("s")).first()
-    assert row[0] == "a , b,c"
+    assert applied(spark, text.clean_reply_text, [" a — b—c\n"]) == ["a , b,c"]
