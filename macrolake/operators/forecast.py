@@ -41,9 +41,11 @@ def actuals_series(mart: DataFrame, column: str, indicator: str | Column) -> Dat
 
 def _series_arrays(actuals: DataFrame) -> DataFrame:
     """One row per series. The partition count is given, because the rows are
-    few and small but expensive: adaptive coalescing would put them in one task."""
+    few and small but expensive: adaptive coalescing would put them in one
+    task. More partitions than cores would only start idle Python workers."""
     points = F.array_sort(F.collect_list(F.struct("obs_month", "value")))
-    partitions = int(actuals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = actuals.sparkSession
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return actuals.repartition(partitions, "indicator").groupBy("indicator").agg(points.alias("points"))
 
 
