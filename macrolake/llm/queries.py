@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from macrolake.llm import bpe, chat, mixing, neardup, quality, topk
+from macrolake.llm import bpe, chat, html_text, licenses, mixing, neardup, quality, topk, toxicity
 from macrolake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = f"SELECT -1L AS conv_id, n AS turn, element_at(array('user', 'assistant'), n + 1) AS role, '{HOSTILE}' AS text FROM (SELECT explode(array(0, 1)) AS n)"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_conversations(turns.union(spark.sql(hostile))))
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op4_license_scan"] = licenses.oracle_sql()
