@@ -55,3 +55,15 @@ def per_batch(frame: DataFrame, function, schema: str) -> DataFrame:
                 )
 
     return frame.mapInArrow(run, schema)
+
+
+def rows_where(frame: DataFrame, keep) -> DataFrame:
+    """The rows of the frame for which ``keep`` is true; it gets each Arrow batch and returns a flag for each row."""
+    bounded_batches(frame.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return frame.mapInArrow(run, frame.schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from macrolake.llm.common import per_batch, text_of
+from macrolake.llm.common import per_batch, rows_where, text_of
 
 #: Labelled rows that are learned from at most, and candidate terms at most.
 SAMPLE_ROWS, CANDIDATES = 20_000, 20_000
@@ -335,3 +335,17 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     scored = per_batch(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text")), run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", F.expr(f"CAST(score >= {THRESHOLD} AS INT)").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below the threshold."""
+    terms, coefficients, place = model.terms, np.array(model.coefficients), docs.columns.index(text)
+    kept: list[NearLexicon] = []
+
+    def keep(batch: pa.RecordBatch):
+        if not kept:
+            kept.append(NearLexicon(terms))
+        z = feature_rows([t or "" for t in batch.column(place).to_pylist()], kept[0], terms) @ coefficients
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30))) < threshold
+
+    return rows_where(docs, keep)
