@@ -348,11 +348,12 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_i
     return per_batch(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), run, "doc_id long, ids binary, decoded binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) and the columns ``more``."""
     return encoded.select(
         "doc_id",
         F.expr("CAST(octet_length(ids) / 4 AS LONG)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
