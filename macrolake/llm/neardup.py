@@ -13,8 +13,9 @@ members of its bucket that are not yet connected to it, so a bucket of many
 copies is settled by one round of as many pairs as it has members. What is
 still unconnected after that round is filtered exactly: two sets of Jaccard
 similarity s share one of their ``n - ceil(s * n) + 1`` rarest shingles, so only
-nodes with such a shingle in common go on, again leader by leader, until
-every pair is compared or connected. Every link is confirmed on the full sets.
+nodes with such a shingle in common go on, again against leaders, more of them
+each round, until every pair is compared or connected. Every link is confirmed
+on the full sets.
 
 Rows: a null or blank text has an empty set, is linked with nothing and is its
 own group. A null ``doc_id`` is a group of its own with a null component.
@@ -35,8 +36,8 @@ WIDTH = 5
 #: 36 bands of 5: a pair of similarity 0.85 is missed with probability 7e-10, one of 0.8 with 6e-7.
 BANDS, ROWS = 36, 5
 COORDINATES = BANDS * ROWS
-#: Leaders of a bucket that are compared in one round after the first.
-SLICES = 8
+#: Share of a bucket's nodes that have led after each round; the last makes it all of them.
+LED = (0.03, 0.12, 0.5, 1.0)
 #: Shingles that are sketched at once.
 CHUNK = 400_000
 
@@ -185,49 +186,52 @@ def fits(percent: int):
     return F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int, slices: int, edges: DataFrame | None, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Compare leaders with the members of their buckets, round by round.
+def unsettled(members: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """The members of buckets that hold more than one component, with their components; stored."""
+    current = members.withColumn("component", F.col("rep"))
+    if edges is not None:
+        current = members.join(components(edges), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    spread = current.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    return stored(current.join(spread, "key", "left_semi"))
+
+
+def compared(rest: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The confirmed links of leaders (key, leader, leader_n, leader_component) to the rest of their buckets; stored."""
+    pairs = (
+        rest.join(leaders, "key")
+        .filter("component <> leader_component")
+        .filter(fits(percent))
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+        .distinct()
+    )
+    return stored(confirmed(pairs, sets, percent))
+
+
+def first_round(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of each bucket's smallest node to the others."""
+    heads = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
+    leaders = heads.selectExpr("key", "h.rep AS leader", "h.n AS leader_n", "h.rep AS leader_component")
+    return compared(members.withColumn("component", F.col("rep")), leaders, sets, percent)
+
 
-    Each round takes the smallest node of each slice of each bucket that has
-    not led yet, and compares it with the nodes of the bucket that lie in
-    other components. Returns all edges and the buckets that are left.
+def later_rounds(members: DataFrame, sets: DataFrame, percent: int, edges: DataFrame) -> DataFrame:
+    """All links between members of a bucket that ``edges`` does not connect, and ``edges``.
+
+    A hash gives every member of a bucket its place between 0 and 1. A round's
+    leaders are the next places; they meet the members that have not led before.
     """
-    spark = members.sparkSession
-    led = spark.createDataFrame([], "key long, slice int, last long")
-    done, labels = 0, None
-    while True:
-        if edges is not None and labels is None:
-            labels = components(edges)
-        if labels is not None:
-            current = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        else:
-            current = members.withColumn("component", F.col("rep"))
-        mixed = current.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-        current = stored(current.join(mixed, "key", "left_semi").withColumn("slice", F.expr(f"CAST(pmod(xxhash64(rep), {slices}) AS INT)")))
-        if (rounds is not None and done >= rounds) or current.isEmpty():
-            return edges, current.drop("slice", "component")
-        heads = (
-            current.join(led, ["key", "slice"], "left")
-            .filter("last IS NULL OR rep > last")
-            .groupBy("key", "slice")
-            .agg(F.min(F.struct("rep", "n", "component")).alias("h"))
-        )
-        heads = stored(heads)
-        if heads.isEmpty():
-            return edges, current.drop("slice", "component")
-        leaders = heads.selectExpr("key", "h.rep AS leader", "h.n AS leader_n", "h.component AS leader_component")
-        pairs = (
-            current.join(leaders, "key")
-            .filter("component <> leader_component")
-            .filter(fits(percent))
-            .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-            .distinct()
-        )
-        found = stored(confirmed(pairs, sets, percent))
+    placed = members.withColumn("place", F.expr("pmod(xxhash64(key, rep), 1048576) / 1048576D"))
+    low, current = 0.0, unsettled(placed, edges)
+    for high in LED:
+        if current.isEmpty():
+            break
+        leaders = current.filter(F.col("place").between(low, high)).selectExpr("key", "rep AS leader", "n AS leader_n", "component AS leader_component")
+        found = compared(current.filter(F.col("place") >= low), leaders, sets, percent)
+        low = high
         if not found.isEmpty():
-            edges, labels = found if edges is None else stored(edges.union(found)), None
-        led = stored(led.union(heads.selectExpr("key", "slice", "h.rep AS last")).groupBy("key", "slice").agg(F.max("last").alias("last")))
-        done += 1
+            edges = stored(edges.union(found))
+            current = unsettled(placed, edges)
+    return edges
 
 
 def rare_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -262,14 +266,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = nodes.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands")
     members = stored(shared_keys(bucket_rows(nodes)).distinct())
     sets = stored(full_sets(docs, members.select("rep").distinct(), doc_id, text))
-    edges, left = links(members, sets, percent, 1, None, rounds=1)
+    edges = first_round(members, sets, percent)
+    left = unsettled(members, edges)
     if not left.isEmpty():
-        if edges is None:
-            edges = docs.sparkSession.createDataFrame([], "u long, v long")
-        edges, _ = links(rare_keys(left, sets, percent), sets, percent, SLICES, edges)
-    groups = reps.withColumn("component_id", F.col("rep"))
-    if edges is not None:
-        groups = reps.join(components(edges), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
+        edges = later_rounds(rare_keys(left, sets, percent), sets, percent, edges)
+    groups = reps.join(components(edges), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
     return (
         all_.select("doc_id", "n_shingles", "hi", "lo")
         .join(groups.select("hi", "lo", "component_id"), ["hi", "lo"], "left")
