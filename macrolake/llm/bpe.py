@@ -20,6 +20,7 @@ row. Bytes that are no valid UTF-8 after decoding become U+FFFD.
 
 from __future__ import annotations
 
+import heapq
 import json
 import mmap
 import os
@@ -67,7 +68,10 @@ class Vocabulary:
         self.ids = {bytes(letters[c] for c in piece): i for piece, i in data["model"]["vocab"].items() if all(c in letters for c in piece)}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in data["model"]["merges"]]
         raw = lambda piece: bytes(letters[c] for c in piece)
-        self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        #: The rank of a pair of ids, as one number, and the id each rank makes.
+        self.ranks = {self.ids[raw(a)] << 20 | self.ids[raw(b)]: i for i, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[raw(a) + raw(b)] for a, b in pairs]
+        self.of_byte = [self.ids.get(bytes([b]), -1) for b in range(256)]
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         size = max([*data["model"]["vocab"].values(), *self.added.values()]) + 1
         self.bytes = [b""] * size
@@ -80,45 +84,39 @@ class Vocabulary:
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token: the pair of lowest rank is merged, leftmost first, until none is left."""
-        if token in self.ids and len(token) == 1:
-            return [self.ids[token]]
-        parts = [token[i : i + 1] for i in range(len(token))]
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: self.ranks.get(p, 1 << 60))
-            if best not in self.ranks:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts]
+        never = len(self.made)
+        get = self.ranks.get
+        ids = [self.of_byte[b] for b in token]
+        ranks = [get(a << 20 | b, never) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < never:
+            i = ranks.index(best)
+            ids[i : i + 2] = [self.made[best]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 20 | ids[i + 1], never)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 20 | ids[i], never)
+        return ids
 
     def merge_long(self, token: bytes) -> list[int]:
         """As merge(), by a heap over a linked list, for long pre-tokens."""
-        import heapq
-
         n = len(token)
-        parts: list[bytes | None] = [token[i : i + 1] for i in range(n)]
+        ids = [self.of_byte[b] for b in token]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(self.ranks[p], i, *p) for i in range(n - 1) if (p := (parts[i], parts[i + 1])) in self.ranks]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.ranks.get(ids[i] << 20 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != a or j >= n or parts[j] != b:
+            if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            parts[i], parts[j], after[i] = a + b, None, after[j]
+            ids[i], ids[j], after[i] = self.made[rank], -1, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] < n and (p := (parts[k], parts[after[k]])) in self.ranks:
-                    heapq.heappush(heap, (self.ranks[p], k, *p))
-        return [self.ids[p] for p in parts if p is not None]
+                if k >= 0 and after[k] < n and (r := self.ranks.get(ids[k] << 20 | ids[after[k]])) is not None:
+                    heapq.heappush(heap, (r, k, ids[k], ids[after[k]]))
+        return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> list[int]:
         """The ids of a piece of text without added tokens."""
