@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from macrolake.llm.common import per_batch, rows_where, text_of
 
 #: Labelled rows that are learned from at most, and candidate terms at most.
-SAMPLE_ROWS, CANDIDATES = 20_000, 20_000
+SAMPLE_ROWS, CANDIDATES = 10_000, 5_000
 #: Toxic rows a new term must explain, and the share of toxic rows among those that hold it.
 SUPPORT, SHARE = 4, 0.8
 #: Contexts that make a term of their own accord, and contexts for each row that holds a term at least.
