@@ -25,8 +25,6 @@ MODEL = "holt-winters"
 #: Candidate smoothing weights of level, trend and season. The ends matter: a price that
 #: moves like a random walk wants a level weight of one and a steady trend and season.
 GRID = (0.0, 0.1, 0.3, 0.6, 0.9, 1.0)
-#: Seasons at the start of a series that set the starting states.
-START_SEASONS = 5
 #: Half-width of the band in residual standard deviations.
 BAND_WIDTH = 1.96
 
@@ -39,13 +37,12 @@ def actuals_series(mart: DataFrame, column: str, indicator: str | Column) -> Dat
     )
 
 
-def _series_arrays(actuals: DataFrame) -> DataFrame:
-    """One row per series. The partition count is given, because the rows are
-    few and small but expensive: adaptive coalescing would put them in one
-    task. More partitions than cores would only start idle Python workers."""
+def _series_arrays(actuals: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per series. The partition count is given, by default the session's
+    number of shuffle partitions, because the rows are few and small but
+    expensive: adaptive coalescing would put them in one task."""
     points = F.array_sort(F.collect_list(F.struct("obs_month", "value")))
-    spark = actuals.sparkSession
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    partitions = partitions or int(actuals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return actuals.repartition(partitions, "indicator").groupBy("indicator").agg(points.alias("points"))
 
 
@@ -55,13 +52,17 @@ def short_series(actuals: DataFrame, season: int = SEASON) -> DataFrame:
     return counts.filter(F.col("n") < 2 * season)
 
 
-def require_two_seasons(actuals: DataFrame, season: int = SEASON) -> None:
-    """Raise if any series is too short to fit."""
+def require_two_seasons(actuals: DataFrame, season: int = SEASON, expected: list[str] | None = None) -> None:
+    """Raise if any series is too short to fit, or one of the ``expected`` has no rows at all."""
     short = short_series(actuals, season)
-    examples = short.limit(5).collect()
-    if examples:
-        listed = ", ".join(f"{r['indicator']} ({r['n']})" for r in examples)
-        raise ValueError(f"fewer than {2 * season} months: {listed}")
+    if expected:
+        absent = actuals.sparkSession.createDataFrame([(i,) for i in expected], "indicator string")
+        absent = absent.join(actuals.select("indicator").distinct(), "indicator", "left_anti")
+        short = short.select("indicator", "n").union(absent.select("indicator", F.lit(0).cast("long")))
+    total = short.count()
+    if total:
+        listed = ", ".join(f"{r['indicator']} ({r['n']})" for r in short.orderBy("indicator").limit(5).collect())
+        raise ValueError(f"fewer than {2 * season} months in {total} series, such as: {listed}")
 
 
 def hw_fit(actuals: DataFrame, season: int = SEASON, grid: tuple[float, ...] = GRID) -> DataFrame:
@@ -106,12 +107,36 @@ _FIT_TYPE = (
 
 
 def _grid_search(season: int, grid: tuple[float, ...]):
-    """A function from arrays of values to the best fit of each, for a pandas UDF."""
+    """A function from arrays of values to the best fit of each, for a pandas UDF.
+
+    All helpers are nested, so that executors need not have this package.
+    """
     alpha, beta, gamma = np.array(list(itertools.product(sorted(grid), repeat=3))).T
 
+    def starting_states(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Level and trend just before the first point, and one seasonal value per position; rows are series."""
+        half = season // 2
+        cycles = y.shape[1] // season
+        centred = {}
+        for t in range(half, cycles * season - half):
+            total = 0.5 * y[:, t - half]
+            for i in range(t - half + 1, t + half):
+                total = total + y[:, i]
+            centred[t] = (total + 0.5 * y[:, t + half]) / season
+        raw = []
+        for p in range(season):
+            first = p + season if p < half else p
+            raw.append(sum(y[:, t] - centred[t] for t in range(first, first + season * (cycles - 1), season)) / (cycles - 1))
+        seasonals = [s - sum(raw) / season for s in raw]
+
+        middle = (season - 1) / 2
+        line = [centred[half + i] for i in range(season)]
+        slope = sum((i - middle) * c for i, c in enumerate(line)) / sum((i - middle) ** 2 for i in range(season))
+        return sum(line) / season - (half + middle + 1) * slope, slope, seasonals
+
     def smooth(y: np.ndarray) -> pd.DataFrame:
         """Fit series of equal length, one per row of ``y``; state arrays are series x grid."""
-        level0, trend0, season0 = _starting_states(y, season)
+        level0, trend0, season0 = starting_states(y)
         shape = (len(y), len(alpha))
         level = np.broadcast_to(level0[:, None], shape)
         trend = np.broadcast_to(trend0[:, None], shape)
@@ -158,28 +183,6 @@ def _grid_search(season: int, grid: tuple[float, ...]):
     return fit
 
 
-def _starting_states(y: np.ndarray, season: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Level and trend just before the first point, and one seasonal value per position; rows are series."""
-    half = season // 2
-    cycles = min(y.shape[1] // season, START_SEASONS)
-    centred = {}
-    for t in range(half, cycles * season - half):
-        total = 0.5 * y[:, t - half]
-        for i in range(t - half + 1, t + half):
-            total = total + y[:, i]
-        centred[t] = (total + 0.5 * y[:, t + half]) / season
-    raw = []
-    for p in range(season):
-        first = p + season if p < half else p
-        raw.append(sum(y[:, t] - centred[t] for t in range(first, first + season * (cycles - 1), season)) / (cycles - 1))
-    seasonals = [s - sum(raw) / season for s in raw]
-
-    middle = (season - 1) / 2
-    line = [centred[half + i] for i in range(season)]
-    slope = sum((i - middle) * c for i, c in enumerate(line)) / sum((i - middle) ** 2 for i in range(season))
-    return sum(line) / season - (half + middle + 1) * slope, slope, seasonals
-
-
 def hw_forecast(fits: DataFrame, periods: int = PERIODS) -> DataFrame:
     """The next ``periods`` months of each fitted series, rounded to cents (ties to even)."""
     return _project(fits, periods).select("indicator", "obs_month", F.bround("raw", 2).alias("yhat"))

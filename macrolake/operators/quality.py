@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, StructType
 
 from macrolake.functions.dates import as_date
+from macrolake.session import shared_dir
 
 
 class DataQualityError(Exception):
-    """At least one rule failed; carries the failed report rows."""
+    """At least one rule failed; names the first failed report rows, their total and the folder that holds all of them."""
 
-    def __init__(self, failures: list) -> None:
-        self.failures = failures
+    def __init__(self, failures: list, total: int, path: str) -> None:
+        self.failures, self.total, self.path = failures, total, path
         lines = [f"{r['suite']}.{r['rule']}({r['column_name'] or '*'}): {r['n_failed']} failed" for r in failures]
-        super().__init__("; ".join(lines))
+        super().__init__("; ".join(lines) + f" ({total} in all, listed in {path})")
 
 
 @dataclass(frozen=True)
@@ -145,14 +146,20 @@ def dq_report(df: DataFrame, suite: str, rules: list[Rule], by: list[str] | None
     return totals.select(*by, F.inline(F.array(*lines)))
 
 
-def dq_enforce(report: DataFrame, shown: int = 100) -> None:
+def dq_enforce(report: DataFrame, shown: int = 100, path: str | None = None) -> None:
     """Raise if any rule failed. Run it before the write, so that a failed gate leaves the mart as it was.
 
-    Every rule is evaluated; ``shown`` only limits the failures listed in the message.
+    Every rule is evaluated and every failure is written to ``path``, by
+    default a fresh folder of the shared location; ``shown`` only limits the
+    failures that the message names.
     """
-    failures = report.filter(~F.col("passed")).limit(shown).collect()
-    if failures:
-        raise DataQualityError(failures)
+    failed = report.filter(~F.col("passed"))
+    if failed.isEmpty():
+        return
+    path = path or shared_dir(report.sparkSession)
+    failed.write.parquet(path)
+    stored = report.sparkSession.read.schema(failed.schema).parquet(path)
+    raise DataQualityError(stored.limit(shown).collect(), stored.count(), path)
 
 
 def with_last_actual(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:

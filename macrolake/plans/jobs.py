@@ -257,11 +257,13 @@ def ingest_bond(lake: Lake, yields: DataFrame) -> None:
 def refresh_forecasts(lake: Lake, *codes: str, periods: int = forecast.PERIODS) -> None:
     """Refit the given indicators (all by default) and replace only their rows of forecast_monthly."""
     chosen = [f for f in catalog.FORECASTS if not codes or f[0] in codes]
+    if unknown := set(codes) - {f[0] for f in chosen}:
+        raise ValueError(f"no forecast is defined for {', '.join(sorted(unknown))}")
     actuals = None
     for code, mart, column in chosen:
         series = forecast.actuals_series(lake.mart(mart), column, code)
         actuals = series if actuals is None else actuals.unionByName(series)
-    forecast.require_two_seasons(actuals)
+    forecast.require_two_seasons(actuals, expected=[code for code, _, _ in chosen])
     ahead = forecast.hw_band(forecast.hw_fit(actuals), periods)
     # The gate and the write below read the same fit: store it once instead of fitting twice.
     staging = shared_dir(lake.spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,10 +31,19 @@ def sink_partitioned(df: DataFrame, path: str, *keys: str) -> None:
 
 
 def sink_truncate_load(df: DataFrame, path: str, schema: StructType) -> None:
-    """Full rebuild of a mart that keeps the mart's declared columns, order and types."""
-    df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]).write.mode(
-        "overwrite"
-    ).parquet(path)
+    """Full rebuild of a mart that keeps the mart's declared columns, order and types.
+
+    The rows are computed into a folder beside the mart first, so a load that
+    fails leaves the mart as it was.
+    """
+    rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    spark, staging = df.sparkSession, f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(staging)
+        spark.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def sink_truncate_load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
-import __spark_entry__ as spark_entry
 import oracle
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from macrolake.plans import check_layers, check_reads, check_sources  # noqa: F401
+from macrolake.plans.registry import ORACLE_SQL, QUERIES
+
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -93,10 +95,10 @@ def hard(tmp_path_factory):
 ORDINARY = {"latest_batch", "scalar_payload", "normalize_event_snapshot", "upsert_dim", "scan_parquet"}
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - ORDINARY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ORDINARY))
 def test_same_rows_as_sql(spark, hard, name):
     folder, con = hard
     problems, _ = oracle.differences(
-        spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], folder
+        spark, con, QUERIES[name], ORACLE_SQL[name], folder
     )
     assert problems == []
