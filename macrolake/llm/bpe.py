@@ -41,6 +41,8 @@ from macrolake.llm.common import per_batch, text_of
 LEXICON_WORDS, LEXICON_COUNT = 60_000, 16
 #: Words that a worker remembers beside the lexicon before it starts anew.
 REMEMBERED = 300_000
+#: Bytes from which a pre-token is merged by a heap.
+LONG = 64
 
 _SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _OTHER = _SPACE.replace("[", "[^", 1)
@@ -79,6 +81,12 @@ class Vocabulary:
             self.bytes[i] = piece
         for content, i in self.added.items():
             self.bytes[i] = content.encode()
+        #: The same ranks for lookups of whole arrays; the last entry is larger than any pair.
+        order = np.array(sorted(self.ranks), np.int64)
+        self.pair_keys = np.append(order, np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.array([self.ranks[k] for k in order.tolist()], np.int64), len(self.made))
+        self.made_ids = np.array(self.made, np.int64)
+        self.byte_ids = np.array(self.of_byte, np.int64)
         self.pattern = regex.compile(PRE_TOKEN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
@@ -118,12 +126,74 @@ class Vocabulary:
                     heapq.heappush(heap, (r, k, ids[k], ids[after[k]]))
         return [x for x in ids if x >= 0]
 
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, the number of merges where there is none."""
+        pairs = left << 20 | right
+        at = np.searchsorted(self.pair_keys, pairs)
+        return np.where(self.pair_keys[at] == pairs, self.pair_ranks[at], len(self.made))
+
+    def merge_all(self, tokens: list[bytes]) -> list[bytes]:
+        """As merge() for many pre-tokens at once, packed; each round merges one pair of every token that has one left."""
+        never = len(self.made)
+        out = [b""] * len(tokens)
+        short = [i for i, t in enumerate(tokens) if 0 < len(t) < LONG]
+        for i, t in enumerate(tokens):
+            if len(t) >= LONG:
+                out[i] = np.array(self.merge_long(t), "<u4").tobytes()
+        lengths = np.fromiter((len(tokens[i]) for i in short), np.int64, len(short))
+        token = np.array(short, np.int64)
+        ids = self.byte_ids[np.frombuffer(b"".join([tokens[i] for i in short]), np.uint8)]
+        last = np.zeros(len(ids), bool)
+        last[np.cumsum(lengths) - 1] = True
+        ranks = np.full(len(ids), never, np.int64)
+        inner = np.flatnonzero(~last)
+        ranks[inner] = self.pair_rank(ids[inner], ids[inner + 1])
+        while len(ids):
+            starts = np.cumsum(lengths) - lengths
+            best = np.minimum.reduceat(ranks, starts)
+            done = best == never
+            if done.any():
+                gone = np.repeat(done, lengths)
+                packed, at = ids[gone].astype("<u4").tobytes(), 0
+                for i, n in zip(token[done].tolist(), lengths[done].tolist()):
+                    out[i] = packed[at : at + 4 * n]
+                    at += 4 * n
+                token, lengths, best = token[~done], lengths[~done], best[~done]
+                ids, last, ranks = ids[~gone], last[~gone], ranks[~gone]
+                if not len(ids):
+                    break
+            # The leftmost of a token's pairs of lowest rank.
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            hits = np.flatnonzero(ranks == best[owner])
+            at = hits[np.append(True, owner[hits[1:]] != owner[hits[:-1]])]
+            ids[at] = self.made_ids[best]
+            last[at] = last[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))  # every earlier token has lost one symbol
+            ids, last, ranks = ids[keep], last[keep], ranks[keep]
+            lengths = lengths - 1
+            ranks[at] = never
+            inner = at[~last[at]]
+            ranks[inner] = self.pair_rank(ids[inner], ids[inner + 1])
+            before = at[at > 0] - 1
+            before = before[~last[before]]
+            ranks[before] = self.pair_rank(ids[before], ids[before + 1])
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of many short texts without added tokens; equal pre-tokens are merged once."""
+        cut = [(t,) if t[1:].isalpha() and t.isascii() and t[0] == " " else self.pattern.findall(t) for t in texts]
+        tokens = list({p for c in cut for p in c})
+        ids = dict(zip(tokens, self.merge_all([t.encode("utf-8") for t in tokens])))
+        return [ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for c in cut]
+
     def encode(self, text: str) -> list[int]:
         """The ids of a piece of text without added tokens."""
         ids: list[int] = []
         for token in self.pattern.findall(text):
             raw = token.encode("utf-8")
-            ids += self.merge(raw) if len(raw) < 64 else self.merge_long(raw)
+            ids += self.merge(raw) if len(raw) < LONG else self.merge_long(raw)
         return ids
 
 
@@ -247,8 +317,9 @@ class Encoder:
                 clear.append(unit)
         raw = [b" " + u.encode("utf-8") for u in clear]
         found = self.lexicon.packed(raw) if self.lexicon and raw else [None] * len(raw)
-        for unit, ids in zip(clear, found):
-            self.known[unit] = self.pack(" " + unit) if ids is None else ids
+        self.known.update(zip(clear, found))
+        unseen = [u for u, ids in zip(clear, found) if ids is None]
+        self.known.update(zip(unseen, self.vocabulary.encode_all([" " + u for u in unseen])))
 
     def pack(self, text: str) -> bytes:
         return np.array(self.vocabulary.encode(text), "<u4").tobytes()
