@@ -181,12 +181,15 @@ class Vocabulary:
             ranks[before] = self.pair_rank(ids[before], ids[before + 1])
         return out
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of many short texts without added tokens; equal pre-tokens are merged once."""
-        cut = [(t,) if t[1:].isalpha() and t.isascii() and t[0] == " " else self.pattern.findall(t) for t in texts]
-        tokens = list({p for c in cut for p in c})
+    def encode_units(self, units: list[str]) -> dict[str, bytes]:
+        """Packed ids of each unit with a space before it; equal pre-tokens are merged once, units of letters are one."""
+        words = [u for u in units if u.isascii() and u.isalpha()]
+        cut = {u: self.pattern.findall(" " + u) for u in set(units).difference(words)}
+        tokens = list(set(map(" ".__add__, words)).union(*cut.values()))
         ids = dict(zip(tokens, self.merge_all([t.encode("utf-8") for t in tokens])))
-        return [ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for c in cut]
+        packed = {u: ids[" " + u] for u in words}
+        packed.update((u, b"".join(map(ids.__getitem__, c))) for u, c in cut.items())
+        return packed
 
     def encode(self, text: str) -> list[int]:
         """The ids of a piece of text without added tokens."""
@@ -318,8 +321,7 @@ class Encoder:
         raw = [b" " + u.encode("utf-8") for u in clear]
         found = self.lexicon.packed(raw) if self.lexicon and raw else [None] * len(raw)
         self.known.update(zip(clear, found))
-        unseen = [u for u, ids in zip(clear, found) if ids is None]
-        self.known.update(zip(unseen, self.vocabulary.encode_all([" " + u for u in unseen])))
+        self.known.update(self.vocabulary.encode_units([u for u, ids in zip(clear, found) if ids is None]))
 
     def pack(self, text: str) -> bytes:
         return np.array(self.vocabulary.encode(text), "<u4").tobytes()
@@ -329,7 +331,7 @@ class Encoder:
         head, rest = units[0], units[1:]
         try:
             if head and not head[-1].isspace():
-                return self.pack(head) + b"".join([self.known[u] for u in rest])
+                return self.pack(head) + b"".join(map(self.known.__getitem__, rest))
         except TypeError:
             pass
         cut = _BOUNDARY.split(text)
@@ -338,12 +340,15 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         pieces = [self.vocabulary.specials.split(t) if self.vocabulary.specials and self.vocabulary.specials.search(t) else (t,) for t in texts]
-        units = {u for p in pieces for t in p for u in t.split(" ")[1:]}
+        units: set[str] = set()
+        for cut in pieces:
+            for t in cut:
+                units.update(t.split(" ")[1:])
         if len(units) > REMEMBERED and len(texts) > 1:
             half = len(texts) // 2
             return self.encode(texts[:half]) + self.encode(texts[half:])
         for _ in range(2):  # the first call may forget what was known before
-            self.learn([u for u in units if u not in self.known])
+            self.learn(list(units.difference(self.known)))
         out = []
         for text, cut in zip(texts, pieces):
             if len(cut) == 1:
