@@ -34,7 +34,7 @@ def pack_payload(
     without_pos = F.transform(ordered, lambda o: F.struct(*[o[name].alias(name) for name in fields]))
     params = F.to_json(F.struct(F.col("series_id").alias("code"))) if request_params is None else request_params
     return (
-        rows.groupBy(F.col(series).alias("series_id"), F.floor(F.col(pos) / part_size).alias("part"))
+        rows.groupBy(F.col(series).alias("series_id"), F.expr(f"`{pos}` div {part_size}").alias("part"))
         .agg(without_pos.alias("obs"))
         .select(
             "series_id",
@@ -54,8 +54,9 @@ def _json_value(rows: DataFrame, name: str) -> Column:
 def latest_batch(raw: DataFrame) -> DataFrame:
     """All documents of the newest batch of every series; equal times go to the larger batch_id.
 
-    The winner is found on three narrow columns; payloads are read once, for
-    the semi join with one (series, batch) row per series.
+    The winner is found on three narrow columns. Stored bronze has a folder for
+    each series and batch, so the semi join with the winners prunes the folders
+    at run time and only the payloads of the newest batches are read.
     """
     batches = raw.groupBy("series_id", "batch_id").agg(F.max("ingested_at").alias("ingested_at"))
     winner = batches.groupBy("series_id").agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from macrolake.functions.dates import as_date, month_bucket
 from macrolake.functions.text import is_safe_select
+from macrolake.session import shared_dir
 
 #: Metrics of the headline figures, each with its monthly change where the mart has one.
 HEADLINE_METRICS = {"set_close": "set_mom", "usdthb": "usdthb_mom", "policy_rate": None, "cpi_yoy": None}
@@ -161,7 +162,13 @@ def extreme_month(dashboard: DataFrame, metric: str, year: int | None = None, hi
 
 
 def preview_with_total(result: DataFrame, order: list[str], n: int = 12) -> DataFrame:
-    """The first ``n`` rows in a given order, each with the total row count."""
+    """The first ``n`` rows in a given order, each with the total row count.
+
+    The result is stored once, so the rows and the count cannot disagree.
+    """
+    path = shared_dir(result.sparkSession)
+    result.write.parquet(path)
+    result = result.sparkSession.read.schema(result.schema).parquet(path)
     total = result.agg(F.count("*").alias("n")).scalar()
     return result.orderBy(*order).limit(n).withColumn("total_rows", total)
 
@@ -176,8 +183,9 @@ class UnsafeStatement(ValueError):
     """The text is not one read-only SELECT over the gold views."""
 
 
-# Built-in functions that run arbitrary code of the driver's or executors' class path.
-_CODE_CALLS = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(", re.IGNORECASE)
+# Built-in functions that run arbitrary code of the driver's or executors' class path. The bare name is
+# enough to reject a text, however it is quoted or set apart from its arguments.
+_CODE_CALLS = re.compile(r"\b(reflect|try_reflect|java_method)\b", re.IGNORECASE)
 
 
 def guarded_gold_query(spark: SparkSession, statement: str, views: dict[str, DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ gate that fails stops the job before its mart is written.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -22,6 +23,8 @@ from macrolake.session import shared_dir
 from macrolake.sources import lake as tables
 from macrolake.sources.landed import optional_source
 
+log = logging.getLogger(__name__)
+
 AsOf = str | dt.date
 
 MART_SCHEMAS = {
@@ -107,6 +110,14 @@ def land_snapshot(lake: Lake, rows: DataFrame, series_id: str, source_api: str,
     _append(lake, payloads, source_api)
 
 
+def _land_if_possible(lake: Lake, rows: DataFrame, series_id: str, source_api: str, params: dict[str, str]) -> None:
+    """Land a best-effort layer: whatever goes wrong while it is read is logged, and the other layers go on."""
+    try:
+        land_series(lake, rows, series_id, source_api, params)
+    except Exception:
+        log.warning("skipped optional source %s", series_id, exc_info=True)
+
+
 def _append(lake: Lake, payloads: DataFrame, source_api: str) -> None:
     tables.append_batch(payloads, lake.raw_path, f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}", source_api)
 
@@ -123,9 +134,10 @@ def _merge_silver(
     lake: Lake, batch: DataFrame, indicators: list[Indicator], merge: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> None:
     """Merge a batch into silver, rewriting only the folders of its indicators, and refresh their dimension rows."""
-    dims = silver.upsert_dim(lake.dims(), catalog.dim_rows(lake.spark, *indicators))
-    tables.sink_overwrite_self(dims, lake.dim_path, shared_dir(lake.spark))
     codes = [i.code for i in indicators]
+    known = silver.select_series(lake.dims(), *codes)
+    dims = silver.upsert_dim(known, catalog.dim_rows(lake.spark, *indicators))
+    tables.replace_by_key(dims, lake.dim_path, "indicator_code")
     target = silver.select_series(lake.observations(), *codes)
     tables.replace_by_key(merge(target, batch), lake.observation_path, "indicator_code")
 
@@ -205,7 +217,7 @@ def ingest_policy_rate(
         (catalog.POLICY_STATISTICS_SERIES, statistics),
     ):
         if rows is not None:
-            land_series(lake, rows, series_id, "BOT", params)
+            _land_if_possible(lake, rows, series_id, "BOT", params)
 
     documents = _latest_documents(lake, *[layer.tag for layer in catalog.POLICY_LAYERS])
     is_event = F.col("series_id") == catalog.POLICY_EVENT_SERIES
@@ -237,7 +249,7 @@ def ingest_inflation(lake: Lake, cpi: DataFrame | None) -> None:
     stays as it is and the gate decides.
     """
     if cpi is not None:
-        land_series(lake, cpi, catalog.CPI_SERIES, "IMF", {"code": catalog.CPI_YOY.code})
+        _land_if_possible(lake, cpi, catalog.CPI_SERIES, "IMF", {"code": catalog.CPI_YOY.code})
     if _is_landed(lake, catalog.CPI_SERIES):
         _silver_series(lake, catalog.CPI_YOY, catalog.CPI_SERIES)
     values = _series_values(lake, catalog.CPI_YOY, "cpi_yoy")
@@ -271,7 +283,7 @@ def refresh_forecasts(lake: Lake, *codes: str, periods: int = forecast.PERIODS)
     ahead = tables.scan_parquet(lake.spark, staging, ahead.schema)
     report = quality.dq_report(ahead, "forecast", quality.forecast_suite(periods), ["indicator"])
     quality.dq_enforce(report)
-    tables.replace_by_key(forecast.forecast_monthly(actuals, ahead), lake.forecast_path, "indicator")
+    tables.replace_by_key(forecast.forecast_monthly(actuals, ahead), lake.forecast_path, "indicator", [code for code, _, _ in chosen])
 
 
 def _load_mart(lake: Lake, name: str, mart: DataFrame) -> None:

@@ -42,8 +42,7 @@ def sink_truncate_load(df: DataFrame, path: str, schema: StructType) -> None:
         rows.write.parquet(staging)
         spark.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, staging)
 
 
 def sink_truncate_load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
@@ -51,8 +50,18 @@ def sink_truncate_load_jdbc(df: DataFrame, url: str, table: str, properties: dic
     df.write.mode("overwrite").option("truncate", "true").jdbc(url, table, properties=properties)
 
 
-def replace_by_key(df: DataFrame, path: str, key: str) -> None:
-    """Replace only the partitions of the key values found in ``df``; the others stay as they are."""
+def replace_by_key(df: DataFrame, path: str, key: str, keys: list[str] | None = None) -> None:
+    """Replace only the partitions of some key values; the others stay as they are.
+
+    The values are those found in ``df``. With ``keys`` they are the listed
+    ones: a listed key without rows ends up empty, rows of other keys are not
+    written.
+    """
+    absent: list[str] = []
+    if keys is not None:
+        df = df.filter(F.col(key).isin(keys))
+        found = {r[0] for r in df.select(key).distinct().collect()}
+        absent = [k for k in keys if k not in found]
     (
         df.hint("rebalance", key)
         .write.mode("overwrite")
@@ -60,6 +69,14 @@ def replace_by_key(df: DataFrame, path: str, key: str) -> None:
         .partitionBy(key)
         .parquet(path)
     )
+    for value in absent:
+        _delete(df.sparkSession, f"{path.rstrip('/')}/{key}={value}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def sink_overwrite_self(df: DataFrame, path: str, staging: str) -> None:
@@ -79,9 +96,22 @@ def append_batch(
     source_api: str | Column,
     ingested_at: Column | None = None,
 ) -> None:
-    """Append payload documents (series_id, part, payload, request_params) as one raw batch."""
+    """Append payload documents (series_id, part, payload, request_params) as one raw batch.
+
+    Every series and batch has a folder of its own, and batch ids are never
+    used twice, so replacing just the folders that the batch fills replaces
+    nothing. Unlike the append mode this commits through a private folder:
+    batches that arrive at the same time do not touch each other's files.
+    """
     source = source_api if isinstance(source_api, Column) else F.lit(source_api)
-    envelope(payloads, batch_id, source, ingested_at).write.mode("append").partitionBy("series_id").parquet(path)
+    (
+        envelope(payloads, batch_id, source, ingested_at)
+        .hint("rebalance", "series_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("series_id", "batch_id")
+        .parquet(path)
+    )
 
 
 def envelope(

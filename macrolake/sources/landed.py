@@ -12,8 +12,9 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
+from macrolake import schemas
 from macrolake.functions.dates import as_date
 
 log = logging.getLogger(__name__)
@@ -48,6 +49,21 @@ def optional_source(
         return empty_frame(spark, schema)
 
 
+def read_statistics_document(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics service's JSON answer: the observations of the first series under ``result``."""
+    series = StructType().add("observations", ArrayType(schemas.MONTHLY_STATISTICS))
+    envelope = StructType().add("result", StructType().add("series", ArrayType(series)))
+    document = read_landed(spark, path, envelope, "json", multiLine="true")
+    return document.select(F.inline(F.col("result.series")[0]["observations"]))
+
+
+def read_snapshot_document(spark: SparkSession, path: str) -> DataFrame:
+    """The decision service's JSON answer: the declared fields of ``result``, and all of it as ``raw``."""
+    raw = F.get_json_object("value", "$.result").alias("raw")
+    documents = spark.read.text(path, wholetext=True).select(raw)
+    return documents.select(F.from_json("raw", schemas.POLICY_SNAPSHOT, {"mode": "FAILFAST"}).alias("r"), "raw").select("r.*", "raw")
+
+
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows under a schema; the optimizer sees the emptiness and drops what depends on it."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
@@ -67,14 +83,16 @@ def normalize_monthly_series(rows: DataFrame) -> DataFrame:
 def normalize_event_snapshot(records: DataFrame) -> DataFrame:
     """Policy-decision records -> (obs_date, value, news_th, news_en, raw).
 
-    The texts may be missing; ``raw`` keeps the whole record as JSON.
+    The texts may be missing; ``raw`` keeps the whole record as JSON: the text
+    as delivered where the records carry it, else all their columns.
     """
+    whole = F.col("raw") if "raw" in records.columns else F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     return records.select(
         F.to_timestamp_ntz("effective_datetime", F.lit("yyyy-MM-dd HH:mm:ss")).cast("date").alias("obs_date"),
         F.col("data").cast("double").alias("value"),
         F.col("news_text_th").alias("news_th"),
         F.col("news_text_en").alias("news_en"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("raw"),
+        whole.alias("raw"),
     )
 
 

@@ -147,6 +147,8 @@ def test_ask(lake):
         "delete from gold.dashboard_monthly",
         "select 1; select 2",
         "select reflect('java.lang.System', 'getenv')",
+        "select `reflect`('java.lang.Math', 'max', 1, 2)",
+        "select reflect/**/('java.lang.Math', 'max', 1, 2)",
     ],
 )
 def test_ask_rejects(lake, statement):
@@ -168,6 +170,15 @@ def test_missing_optional_inflation(spark, tmp_path):
         jobs.ingest_inflation(lake, None)
 
 
+def test_policy_rate_with_a_broken_layer(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    snapshot = spark.createDataFrame([("2024-11-13 14:00:00", "2.25", None, None)], schemas.POLICY_SNAPSHOT)
+    broken = days(spark, "2024-01-01", "2024-01-03", F.raise_error(F.lit("malformed")).cast("double"))
+    statistics = months(spark, "2015-01-01", "2024-10-01", F.lit(2.5))
+    jobs.ingest_policy_rate(lake, landed.normalize_event_snapshot(snapshot), AS_OF, broken, statistics)
+    assert lake.mart("policy_rate_monthly").count() == 120
+
+
 def test_policy_rate_without_history(spark, tmp_path):
     lake = jobs.Lake(spark, str(tmp_path / "lake"))
     snapshot = spark.createDataFrame([("2024-11-13 14:00:00", "2.25", None, None)], schemas.POLICY_SNAPSHOT)
