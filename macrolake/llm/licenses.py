@@ -9,8 +9,9 @@ shortest piece, and practically never for others. Retrieved templates are
 verified: the share of a template's shingles that the text holds.
 
 An exact screen stands before: every 5-word run of every template contains one
-of a few words, so texts, and windows, without any of those cannot share a
-shingle with a template.
+of a few pairs of neighbouring words, so texts, and windows, without any of
+those cannot share a shingle with a template. Only windows around such pairs
+are formed.
 
 Rows: a null or empty text holds no template. Repeated rows are scanned each
 and give equal rows. Other columns are not read. An empty table gives no rows.
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 #: Words of a shingle, a template piece and a window; windows start every second word.
 SHINGLE, PIECE, WINDOW, STRIDE = 5, 7, 8, 2
 BANDS = 48
+#: Letters of the longer word from which a pair is preferred for the screen.
+LONG_WORD = 7
 #: Share of a template's shingles that a text must hold, in percent.
 PERCENT = 80
 
@@ -66,13 +69,14 @@ def plain(text: str) -> list[str]:
     return "".join(c if "a" <= c <= "z" or "0" <= c <= "9" else " " for c in text.lower()).split()
 
 
-def screen_words(templates: tuple[tuple[str, str], ...]) -> list[str]:
-    """A few words of which every 5-word run of the templates contains one; chosen greedily, longer words first."""
-    runs = [set(w[i : i + SHINGLE]) for _, t in templates for w in [plain(t)] for i in range(len(w) - SHINGLE + 1)]
+def screen_pairs(templates: tuple[tuple[str, str], ...]) -> list[str]:
+    """Pairs of neighbouring words of which every 5-word run of the templates contains one; chosen greedily, pairs with a long word first."""
+    pairs = lambda words: {f"{x} {y}" for x, y in zip(words, words[1:])}
+    runs = [pairs(w[i : i + SHINGLE]) for _, t in templates for w in [plain(t)] for i in range(len(w) - SHINGLE + 1)]
     chosen: list[str] = []
     while runs:
-        words = {w for r in runs for w in r}
-        best = max(words, key=lambda w: (sum(w in r for r in runs) * (len(w) > 3), len(w), w))
+        longest = lambda pair: max(map(len, pair.split(" ")))
+        best = max({p for r in runs for p in r}, key=lambda p: (sum(p in r for r in runs) * (longest(p) >= LONG_WORD), longest(p), p))
         chosen.append(best)
         runs = [r for r in runs if best not in r]
     return chosen
@@ -81,7 +85,7 @@ def screen_words(templates: tuple[tuple[str, str], ...]) -> list[str]:
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, license, matched, shingles): the templates each row holds, by license the one with the largest share."""
     spark = docs.sparkSession
-    screen = screen_words(templates)
+    screen = screen_pairs(templates)
     known = spark.createDataFrame([(i, name, " ".join(plain(t))) for i, (name, t) in enumerate(templates)], "template int, license string, body string")
     known = known.withColumn("words", F.expr("split(body, ' ')")).withColumn("all", F.expr(f"array_distinct({shingles_of('words')})"))
     pieces = known.select(
@@ -89,22 +93,23 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, do
         F.explode(F.expr(f"transform(sequence(1, greatest(1, size(words) - {PIECE - 1})), i -> slice(words, i, {PIECE}))")).alias("piece"),
     )
     keys = pieces.select("template", "license", "all", F.explode(F.expr(band_keys(shingles_of("piece")))).alias("key")).dropDuplicates(["template", "key"])
-    listed = ", ".join(f"'{w}'" for w in screen)
-    shown = " OR ".join(f"contains(low, '{w}')" for w in screen)
+    listed, firsts = (", ".join(f"'{x}'" for x in xs) for xs in (screen, sorted({p.split(" ")[0] for p in screen})))
+    shown = " OR ".join(f"contains(low, '{w}')" for w in sorted({max(p.split(" "), key=len) for p in screen}))
+    at = f"filter(sequence(1, size(w) - 1), i -> element_at(w, i) IN ({firsts}) AND concat_ws(' ', element_at(w, i), element_at(w, i + 1)) IN ({listed}))"
+    starts = f"array_distinct(flatten(transform({at}, i -> filter(sequence(greatest(1, i - {WINDOW - 2}), i), s -> s % {STRIDE} = 1))))"
+    windows = f"filter(transform({starts}, s -> slice(w, s, {WINDOW})), x -> size(x) >= {SHINGLE})"
+    # The words are bound by the aggregate, and no filter passes the row number: else the optimizer would cut a text anew for each word.
     rows = (
         docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.coalesce(text, F.lit(""))).alias("low"))
         .filter(shown)
-        .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("words", F.expr(words_of("low")))
-        .withColumn("all_shingles", F.expr(shingles_of("words")))
+        .withColumn("windows", F.expr(f"aggregate(array({words_of('low')}), CAST(array() AS ARRAY<ARRAY<STRING>>), (z, w) -> CASE WHEN size(w) >= {SHINGLE} THEN {windows} ELSE z END)"))
+        .select("doc_id", "windows", F.monotonically_increasing_id().alias("row"))
     )
     runs = sorted({" ".join(w[i : i + SHINGLE]) for _, t in templates for w in [plain(t)] for i in range(len(w) - SHINGLE + 1)})
     in_templates = ", ".join(f"'{r}'" for r in runs)
-    held = rows.select(
-        "doc_id", "row", F.expr(f"array_intersect(array({in_templates}), all_shingles)").alias("held"),
-        F.explode(F.expr(f"transform(sequence(1, greatest(1, size(words) - {WINDOW - STRIDE}), {STRIDE}), i -> slice(words, i, {WINDOW}))")).alias("window"),
-    )
-    near = held.filter(f"size(window) >= {SHINGLE} AND arrays_overlap(window, array({listed}))")
+    # A template's shingle holds a screen pair, so it stands in a text if it stands in one of these windows.
+    here = f"flatten(transform(windows, w -> {_SHINGLES.format(words='w')}))"
+    near = rows.select("doc_id", "row", F.expr(f"array_intersect(array({in_templates}), {here})").alias("held"), F.explode("windows").alias("window"))
     found = near.select("doc_id", "row", "held", F.explode(F.expr(band_keys(shingles_of("window")))).alias("key")).join(F.broadcast(keys), "key")
     verified = (
         found.withColumn("matched", F.expr("CAST(size(array_intersect(`all`, held)) AS LONG)"))
