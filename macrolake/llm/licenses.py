@@ -86,7 +86,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, do
     """(doc_id, license, matched, shingles): the templates each row holds, by license the one with the largest share."""
     spark = docs.sparkSession
     screen = screen_pairs(templates)
-    known = spark.createDataFrame([(i, name, " ".join(plain(t))) for i, (name, t) in enumerate(templates)], "template int, license string, body string")
+    listing = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(" ".join(plain(t))).alias("body")) for i, (name, t) in enumerate(templates)]
+    known = spark.range(0, 1, 1, 1).select(F.inline(F.array(*listing)))
     known = known.withColumn("words", F.expr("split(body, ' ')")).withColumn("all", F.expr(f"array_distinct({shingles_of('words')})"))
     pieces = known.select(
         "template", "license", "all",

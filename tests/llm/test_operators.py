@@ -129,6 +129,22 @@ def test_licenses(docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_screen_misses_no_template():
+    pairs = set(licenses.screen_pairs(licenses.TEMPLATES))
+    for _, template in licenses.TEMPLATES:
+        words = licenses.plain(template)
+        for i in range(len(words) - licenses.SHINGLE + 1):
+            run = words[i : i + licenses.SHINGLE]
+            assert pairs & {f"{x} {y}" for x, y in zip(run, run[1:])}
+
+
+@pytest.mark.parametrize("before", [0, 1, 2, 9])
+def test_licenses_at_any_place(spark, before):
+    rows = [(i, "word " * before + t + " word" * (i % 3)) for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    found = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(i, name) for i, (name, _) in enumerate(licenses.TEMPLATES)} <= found
+
+
 def plain_components(rows, percent):
     sets = {}
     for i, t in rows:
