@@ -310,8 +310,6 @@ class Encoder:
 
     def learn(self, units: list[str]) -> None:
         """Remember the ids of units that a space precedes; None marks a unit whose neighbours matter."""
-        if len(self.known) + len(units) > REMEMBERED:
-            self.known.clear()
         clear = []
         for unit in units:
             if not unit or unit[0].isspace() or unit[-1].isspace():
@@ -347,8 +345,11 @@ class Encoder:
         if len(units) > REMEMBERED and len(texts) > 1:
             half = len(texts) // 2
             return self.encode(texts[:half]) + self.encode(texts[half:])
-        for _ in range(2):  # the first call may forget what was known before
-            self.learn(list(units.difference(self.known)))
+        new = units.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:  # what these texts need is learned whole, even if that is more
+            self.known.clear()
+            new = units
+        self.learn(list(new))
         out = []
         for text, cut in zip(texts, pieces):
             if len(cut) == 1:

@@ -55,6 +55,18 @@ def test_bpe_on_random_text():
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("warm", [False, True])
+def test_bpe_takes_more_units_than_it_remembers(monkeypatch, warm):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    vocabulary = bpe.Vocabulary(VOCABULARY)
+    encoder = bpe.Encoder(vocabulary, None)
+    texts = [" ".join(f"id{i}" for i in range(n)) for n in (50, 10, 21)]
+    if warm:
+        encoder.encode([" ".join(f"id{i}" for i in range(15))])
+    got = [encoder.encode(texts[:1])[0], *encoder.encode(texts[1:])]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [vocabulary.encode(t) for t in texts]
+
+
 def test_automaton_shares_suffixes_and_ranks(tmp_path):
     words = {w.encode(): [i, i] for i, w in enumerate("stop stops tap taps top tops".split())}
     bpe.Lexicon.write(str(tmp_path / "l"), words)
