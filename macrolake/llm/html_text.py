@@ -53,6 +53,18 @@ BLOCKS = frozenset(
 )
 #: Fixed: elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Fixed: elements that may stand in a head; any other start tag ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Fixed: start tags that close open elements whose end tag may be left out, and the open elements that they do not reach beyond.
+_ROWS = frozenset("caption thead tbody tfoot tr td th".split())
+_INLINE = frozenset("span div address".split())
+CLOSES = {
+    **{t: (frozenset({t}), None) for t in ("li", "option")},
+    **{t: (frozenset({"dt", "dd"}), None) for t in ("dt", "dd")},
+    **{t: (_ROWS - {"thead", "tbody", "tfoot", "tr"}, frozenset({"table", "template", "tr"})) for t in ("td", "th")},
+    "tr": (_ROWS - {"thead", "tbody", "tfoot"}, frozenset({"table", "template", "thead", "tbody", "tfoot"})),
+    **{t: (_ROWS, frozenset({"table", "template"})) for t in ("caption", "thead", "tbody", "tfoot")},
+}
 #: Elements that the stack of open elements holds; others only count as tags.
 KEPT = (BLOCKS | NEVER | {"td", "th", "span"}) - VOID - {"p"}
 
@@ -81,6 +93,45 @@ class Lines(HTMLParser):
         self.tags: list[int] = []
         self.pieces: list[str] = []
         self.met = 0
+        self.paragraph = 0  # open elements when the open paragraph began, 0 without one
+
+    def close_from(self, i: int) -> None:
+        """End the open elements from number ``i`` on."""
+        del self.stack[i:]
+        if self.paragraph > i:
+            self.paragraph = 0
+
+    def close_paragraph(self) -> None:
+        """End the open paragraph with what was opened inline in it."""
+        if self.paragraph and all(name == "span" for name, _, _ in self.stack[self.paragraph :]):
+            self.close_from(self.paragraph)
+            self.paragraph = 0
+
+    def close_before(self, tag: str) -> None:
+        """End what a start tag ends without an end tag."""
+        names = [name for name, _, _ in self.stack] if tag == "body" or tag in CLOSES else ()
+        if tag == "body" and "head" in names and "template" not in names:
+            self.close_from(names.index("head"))
+        elif tag not in IN_HEAD and self.in_head():
+            self.close_from(len(self.stack) - (1 if self.stack[-1][0] == "head" else 2))
+        if tag in BLOCKS:
+            self.close_paragraph()
+        if tag in CLOSES:
+            closed, bounds = CLOSES[tag]
+            lowest = 0
+            for i in range(len(names) - 1, 0, -1):
+                if names[i] in closed:
+                    lowest = i
+                    if bounds is None:
+                        break
+                elif names[i] in bounds if bounds is not None else names[i] not in _INLINE:
+                    break
+            if lowest:
+                self.close_from(lowest)
+
+    def in_head(self) -> bool:
+        """The innermost open element is a head, or a noscript element in one."""
+        return self.stack[-1][0] == "head" or (self.stack[-1][0] == "noscript" and self.stack[-2][0] == "head")
 
     def end_line(self) -> None:
         if self.pieces:
@@ -98,6 +149,9 @@ class Lines(HTMLParser):
             self.end_line()
         elif tag in ("br", "td", "th", "img"):
             self.pieces.append(" ")
+        self.close_before(tag)
+        if tag == "p":
+            self.paragraph = len(self.stack)
         if tag in KEPT:
             never = self.stack[-1][2] or tag in NEVER or (bool(attrs) and tag not in ("html", "body") and marked(attrs))
             if never and not self.stack[-1][2]:
@@ -118,15 +172,19 @@ class Lines(HTMLParser):
             self.end_line()
         elif tag in ("td", "th"):
             self.pieces.append(" ")
+        if tag == "p":
+            self.close_paragraph()
         if tag in KEPT:
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i][0] == tag:
                     if self.stack[-1][2] and not self.stack[i - 1][2]:
                         self.pieces = [] if tag in NEVER else self.pieces
-                    del self.stack[i:]
+                    self.close_from(i)
                     break
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1][0] == "head" and not data.isspace():
+            self.close_from(len(self.stack) - 1)
         if not self.stack[-1][2]:
             self.pieces.append(data)
 

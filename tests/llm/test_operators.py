@@ -240,6 +240,26 @@ def test_main_text():
     assert html_text.main_text("<div>" * 3000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>x</title><body><p>text", "text"),
+        ("<html><head><title>x</title><meta name=a><p>text", "text"),
+        ("<head><noscript><style>p{}</style></noscript><script>x</script>text", "text"),
+        ("<ul><li>one<li class=menu-item>Menu<li>two<ul><li class=ad>Buy</ul>more<li>three</ul>", "one\n\ntwo\n\nmore\n\nthree"),
+        ("<ul><li class=ad><div>Buy<li>one</ul>", "one"),
+        ("<dl><dt>a<dd class=ad>Buy<dt>b<dd>c</dl>", "a\n\nb\n\nc"),
+        ("<table><tr><td class=ad>Buy<td>one<tr class=ad><td>Buy<tr><th class=ad>Buy<th>two</table>", "one\n\ntwo"),
+        ("<table><tbody class=ad><tr><td>Buy<tbody><tr><td>one</table>", "one"),
+        ("<table><tr class=ad><td>Buy<table><tr><td>Buy</table>Buy</td></table>text", "text"),
+        ("<p>one <span class=share>Share<p>two", "one\n\ntwo"),
+        ("<select><option>a<option>b</select>text", "text"),
+    ],
+)
+def test_end_tags_may_be_left_out(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>ab"), (2, "u", "<p>ab")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_text.extract(pages).collect())[1:] == [(2, "u", "ab", 2)] * 2
