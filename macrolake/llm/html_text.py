@@ -5,7 +5,8 @@ text, with the number of its characters and of the tags met since the line
 before. The text-to-tag ratios of the lines, smoothed by a Gaussian, are
 clustered by a threshold: lines above it are content, and the regions with
 content are selected. Regions are the page's articles, else its main element,
-else the innermost element that holds most of the content. All text of the
+else the innermost element that holds all of the content, with what stands
+between it and a heading before it. All text of the
 selected regions is kept, short lines too, but for elements that are
 never part of an article (by name, or by a word of their class, id or role).
 
@@ -30,8 +31,8 @@ from macrolake.llm.common import per_batch
 RADIUS, SIGMA = 2, 1.0
 #: Lines are content if their smoothed ratio is above this share of the standard deviation of all ratios.
 SHARE = 1.0
-#: Without an article or main element, the innermost element with this share of the content is the region.
-HOLDS = 0.7
+#: Fixed: headings.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 #: Fixed: elements whose text is never part of an article.
 NEVER = frozenset(
@@ -196,26 +197,43 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[RADIUS:-RADIUS]
 
 
-def regions(lines: Lines) -> set[int]:
-    """The elements whose text is the article."""
+def inside(lines: Lines, chosen: set[int]) -> list[bool]:
+    """For each element whether it is chosen or lies in a chosen one."""
+    out = [False] * len(lines.names)
+    for i in range(len(out)):  # children have larger numbers
+        out[i] = i in chosen or (i > 0 and out[lines.parents[i]])
+    return out
+
+
+def regions(lines: Lines) -> list[bool]:
+    """For each line whether it is text of the article."""
     sizes = np.array([len(t) for t in lines.texts], float)
     ratios = sizes / np.maximum(1, lines.tags)
     content = smoothed(ratios) > SHARE * ratios.std()
-    mass = np.zeros(len(lines.names))
-    np.add.at(mass, lines.owners, sizes * (content if content.any() else 1))
-    for i in range(len(mass) - 1, 0, -1):  # children have larger numbers
-        mass[lines.parents[i]] += mass[i]
+    content = content if content.any() else np.ones(len(sizes), bool)
+    held = np.zeros(len(lines.names), int)  # content lines in each element
+    np.add.at(held, lines.owners, content)
+    for i in range(len(held) - 1, 0, -1):
+        held[lines.parents[i]] += held[i]
     for name in ("article", "main"):
-        found = {i for i, n in enumerate(lines.names) if n == name and mass[i] > 0}
+        found = {i for i, n in enumerate(lines.names) if n == name and held[i] > 0}
         if found:
-            return found
-    children: dict[int, list[int]] = {}
-    for i in range(1, len(mass)):
-        children.setdefault(lines.parents[i], []).append(i)
-    at = 0
-    while best := [c for c in children.get(at, ()) if mass[c] >= HOLDS * mass[0]]:
-        at = best[0]
-    return {at}
+            within = inside(lines, found)
+            return [within[owner] for owner in lines.owners]
+    at = max(np.flatnonzero(held == held[0]).tolist())  # the elements with all content lie in each other
+    within = inside(lines, {at})
+    kept = [within[owner] for owner in lines.owners]
+    beside: dict[int, list[int]] = {}
+    for i, name in enumerate(lines.names):
+        if name in HEADINGS:
+            beside.setdefault(lines.parents[i], []).append(i)
+    while at:
+        if heads := [i for i in beside.get(lines.parents[at], ()) if i < at]:
+            within = inside(lines, set(heads))
+            first = next((n for n, owner in enumerate(lines.owners) if within[owner]), len(kept))
+            kept[first : kept.index(True)] = [True] * (kept.index(True) - first)
+        at = lines.parents[at]
+    return kept
 
 
 def main_text(html: str) -> str:
@@ -226,11 +244,7 @@ def main_text(html: str) -> str:
     lines.end_line()
     if not lines.texts:
         return ""
-    chosen = regions(lines)
-    inside = [False] * len(lines.names)
-    for i in range(len(inside)):
-        inside[i] = i in chosen or (i > 0 and inside[lines.parents[i]])
-    return "\n\n".join(t for t, owner in zip(lines.texts, lines.owners) if inside[owner])
+    return "\n\n".join(t for t, kept in zip(lines.texts, regions(lines)) if kept)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -260,6 +260,18 @@ def test_end_tags_may_be_left_out(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_article_in_several_elements():
+    body = [f"<p>{n} " + "sentence of the main text, long enough to be content. " * 3 for n in range(8)]
+    said = [" ".join(x[3:].split()) for x in body]
+    menu = "<div><a href=a>Home</a><a href=b>About</a></div>"
+    title = menu + "<div class=post><h1>Title</h1><p>By Jane<div class=entry>" + "".join(body) + "</div></div>"
+    assert html_text.main_text(title) == "\n\n".join(["Title", "By Jane", *said])
+    siblings = menu + "<div><div>" + "".join(body[:2]) + "</div><h2>Next</h2><div>" + "".join(body[2:]) + "</div></div>"
+    assert html_text.main_text(siblings) == "\n\n".join([*said[:2], "Next", *said[2:]])
+    table = "<div>" + body[0] + "<ul>" + "".join(f"<li>{x}" for x in body[1:]) + "</ul><p>End.</div>"
+    assert html_text.main_text(table) == "\n\n".join([*said, "End."])
+
+
 def test_pages_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>ab"), (2, "u", "<p>ab")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_text.extract(pages).collect())[1:] == [(2, "u", "ab", 2)] * 2
