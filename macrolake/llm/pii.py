@@ -2,7 +2,8 @@
 
 Four base kinds are found by fixed patterns. The field adds what patterns miss:
 secrets, and spelled-out addresses and numbers. It reads stretches of a text
-around words with digits, ``@`` or ``=``; every run of up to
+around words with digits, ``@`` or ``=``, words that tell of secrets, cloud key
+prefixes and spelled-out "at" and "dot"; every run of up to
 ``LONGEST`` words there is a candidate segment, scored for each kind by features
 of the whole span (character classes and their counts, length, separators,
 telling words, hexadecimal runs, the word before). Dynamic programming over
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from macrolake.llm.common import per_batch, text_of
 
 #: Words of a segment at most, and words on each side of a telling word that belong to its stretch.
-LONGEST, AROUND = 6, 2
+LONGEST = 6
+AROUND = LONGEST - 1
 #: Fixed: the order of kinds in results. The field knows the same kinds and secrets.
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("other", *KINDS)
@@ -97,7 +99,10 @@ def base_spans(text: str) -> list[Span]:
 
 #: Fixed: words that tell of secrets and spelled-out addresses.
 _KEYS = "password|passwd|pwd|token|secret|apikey|api_key|access_key|private_key"
-_TELLING = re.compile("[0-9@=]")
+# An "at" without brackets tells of an address before a name with a dot; other addresses have a spelled-out dot.
+_TELLING = re.compile(
+    rf"[0-9@=]|{_KEYS}|(?:AKIA|ASIA)[A-Z]{{16}}|[\[(](?:at|dot)[\])]|(?<!\w)dot(?!\w)|(?<!\w)at\s+[\w-]+\.\w", re.IGNORECASE
+)
 _KEY = re.compile(rf"(?:{_KEYS})", re.IGNORECASE)
 _HEX = re.compile(r"[0-9a-f]{12,}|[0-9A-F]{12,}")
 _CLOUD = re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b")
@@ -278,7 +283,7 @@ def training_sentences(n: int = 160, seed: int = 5) -> list[tuple[list[str], lis
                 f"version {take('123456789', 1)}.", f"{r.randint(1, 9)}.{r.randint(0, 9)}.", str(r.randint(1, 9999)), f"{r.randint(1900, 2099)}",
                 f"{r.randint(1, 28)}.{r.randint(1, 12)}.{r.randint(1990, 2030)}", f"x = {r.randint(1, 99)}", f"{take(letters, 4)}{r.randint(1, 99)}",
                 f"{r.randint(1, 9)},{r.randint(100, 999)}.{r.randint(10, 99)}", "the password is", "token", f"{take(letters, 1)}={take(letters, 3)}",
-                f"{r.randint(2000, 2030)}-0{r.randint(1, 9)}-{r.randint(10, 28)}", "at", "dot", "look at", f"{r.randint(10, 99)} %", "@", f"@{take(letters, 6)}",
+                f"{r.randint(2000, 2030)}-0{r.randint(1, 9)}-{r.randint(10, 28)}", "at", "dot", "look at", "a secret", f"{r.randint(10, 99)} %", "@", f"@{take(letters, 6)}",
             ]
         )
 
@@ -293,7 +298,8 @@ def training_sentences(n: int = 160, seed: int = 5) -> list[tuple[list[str], lis
             "phone": r.choice([f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+44 {a} {b} {c}"]),
             "secret": r.choice(
                 ["AKIA" + take("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), f"password={hex_}", f'token = "{hex_}"', f"password: {take(letters + digits, 11)}7",
-                 f"api_key={take(letters + letters.upper() + digits, 30)}", f"secret = {hex_}"]
+                 f"api_key={take(letters + letters.upper() + digits, 30)}", f"secret = {hex_}", "AKIA" + take(letters.upper(), 16),
+                 f"{r.choice(['password', 'secret'])}: {take(letters, r.randint(9, 16))}", f"secret = {take(letters, r.randint(9, 16))}"]
             ),
         }[kind]
 
