@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from macrolake.llm.common import per_batch, rows_where, text_of
 
-#: Labelled rows that are learned from at most, and candidate terms at most.
-SAMPLE_ROWS, CANDIDATES = 10_000, 5_000
+#: Labelled rows that are learned from at most.
+SAMPLE_ROWS = 10_000
 #: Toxic rows a new term must explain, and the share of toxic rows among those that hold it.
 SUPPORT, SHARE = 4, 0.8
 #: Contexts that make a term of their own accord, and contexts for each row that holds a term at least.
@@ -290,23 +290,32 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     sample = usable.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text")).join(F.broadcast(sample), "id")
 
-    def toxic_terms(batch: pa.RecordBatch):
-        counts: Counter[str] = Counter()
-        for t in batch.column(0).to_pylist():
-            counts.update(candidate_terms(t).keys())
-        return [list(counts), list(counts.values())]
-
-    counted = per_batch(rows.filter("y = 1").select("text"), toxic_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()
-    candidates = frozenset(r.term for r in top)
+    def counted_terms(batch: pa.RecordBatch):
+        toxic: Counter[tuple[str, str]] = Counter()
+        clean: Counter[str] = Counter()
+        for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            toxic.update(candidate_terms(t).items()) if y else clean.update(candidate_terms(t).keys())
+        terms, words = [t for t, _ in toxic] + list(clean), [w for _, w in toxic] + [None] * len(clean)
+        return [terms, words, [*toxic.values(), *[0] * len(clean)], [*[0] * len(toxic), *clean.values()]]
+
+    # The word before is null in clean rows, so each other row of the first aggregate is a context.
+    counted = (
+        per_batch(rows.select("y", "text"), counted_terms, "term string, word string, n long, clean long")
+        .groupBy("term", "word")
+        .agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"))
+        .groupBy("term")
+        .agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"), F.count("word").alias("contexts"))
+        .filter(f"n >= {SUPPORT} AND n >= {SHARE}D * (n + clean) AND contexts >= greatest({SUPPORT}, {DIVERSITY}D * n)")
+    )
+    clean = {r.term: r.clean for r in counted.collect()}
+    candidates = frozenset(clean)
 
     def marked(batch: pa.RecordBatch):
-        found = [[(t, w) for t, w in sorted(candidate_terms(x).items()) if t in candidates] for x in batch.column(2).to_pylist()]
-        return [batch.column(0), batch.column(1), [[t for t, _ in f] for f in found], [[w for _, w in f] for f in found]]
+        found = [[(t, w) for t, w in sorted(candidate_terms(x).items()) if t in candidates] for x in batch.column(1).to_pylist()]
+        return [batch.column(0), [[t for t, _ in f] for f in found], [[w for _, w in f] for f in found]]
 
-    held = per_batch(rows.select("id", "y", "text"), marked, "id long, y int, terms array<string>, words array<string>")
-    clean = {r.term: r.n for r in held.filter("y = 0").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
-    toxic = [dict(zip(r.terms, r.words)) for r in held.filter("y = 1").orderBy("id").collect()]
+    held = per_batch(rows.filter("y = 1").select("id", "text"), marked, "id long, terms array<string>, words array<string>")
+    toxic = [dict(zip(r.terms, r.words)) for r in held.orderBy("id").collect()]
     terms = choose_terms(toxic, Counter(clean))
 
     def featured(batch: pa.RecordBatch):
