@@ -9,6 +9,11 @@ slots of a source are ranked; rank ``r`` takes block ``r`` modulo the number of
 its blocks, so all blocks are read once before any is read again, and ranks
 of a fourth pass are not filled.
 
+A source of fewer than ``FEW`` blocks does not take slots, whose short last
+block would leave it far below its target: it gives its stream of words over and
+over until the target, rounded to a whole word, is reached. The SQL has slots
+for such sources too, so its results differ there.
+
 Ranks and word offsets are running sums over a whole source. A source may hold
 a third of all rows, so both are made in two steps: sums of small segments,
 then running sums within a segment. Only one row per source and, for offsets
@@ -28,6 +33,8 @@ from macrolake.llm.common import stored
 
 #: Words of a block. Smaller blocks follow the targets more closely and make more rows.
 BLOCK = 64
+#: Blocks below which a source is dealt by words.
+FEW = 16
 #: Passes over a source at most.
 PASSES = 3
 #: Weights of the sources in order, repeating.
@@ -141,14 +148,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     named = rows.join(sources.withColumnRenamed("source", "its_source"), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     visits = (
         schedule(sources.filter("target > 0"), total // block)
+        .join(sources.filter(f"source_size > {(FEW - 1) * block}").select("number"), "number", "left_semi")
         .join(sources.select("number", F.expr(f"CAST(ceil(source_size / {block}) AS LONG)").alias("blocks")), "number")
         .filter(f"rank < {passes} * blocks")
         .groupBy("number", F.expr("rank % blocks").alias("block"))
         .agg(F.count("*").alias("visits"))
     )
-    placed = offsets(named.filter("size > 0").select("row", "doc_id", "number", "size", "place"))
+    placed = offsets(named.filter("size > 0").select("row", "doc_id", "number", "size", "source_size", "target", "place"))
+    small = f"source_size <= {(FEW - 1) * block}"
+    whole = placed.filter(small).withColumn("due", F.expr("CAST(round(target) AS LONG)"))
+    dealt = whole.select("row", F.expr("due div source_size * size + greatest(0L, least(size, due % source_size - start))").alias("taken"))
     pieces = (
-        placed.select("row", "number", "start", F.expr("start + size AS stop"), F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
+        placed.filter(f"NOT ({small})").select("row", "number", "start", F.expr("start + size AS stop"), F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
         .withColumn("words", F.expr(f"least(stop, (block + 1) * {block}) - greatest(start, block * {block})"))
     )
     taken = (
@@ -156,6 +167,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         .join(visits, ["number", "block"])
         .groupBy("row")
         .agg(F.sum(F.expr("words * visits")).alias("taken"))
+        .union(dealt)
     )
     return named.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 

@@ -250,6 +250,15 @@ def test_mix_follows_its_targets(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_small_sources_meet_their_targets(spark):
+    rows = [(i, "w " * n, s) for i, (n, s) in enumerate([(1, "a"), (20, "b"), (40, "c"), (25, "c"), (3000, "d"), (4000, "e"), (5000, "f")])]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    sums = {r.source_size: (r.taken, r.target) for r in got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()}
+    assert {n: sums[n] for n in (1, 20, 65)} == {1: (3, 3.0), 20: (60, 60.0), 65: (195, 195.0)}
+    tiny = mixing.mix(spark.createDataFrame([(1, "w " * 30, "a"), (2, "w " * 10, "b")], "doc_id long, text string, source string")).collect()
+    assert all(r.taken == round(r.target) for r in tiny)
+
+
 def test_main_text():
     page = (
         '<html><head><title>t</title><style>p{}</style></head><body><nav><a href="/">Menu</a></nav><div class="cookie-notice">We use</div>'
