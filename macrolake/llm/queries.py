@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from macrolake.llm import bpe, chat, html_text, licenses, mixing, neardup, pii, quality, topk, toxicity
+from macrolake.llm import bpe, chat, codebooks, html_text, infill, licenses, mixing, neardup, packing, pii, quality, topk, toxicity
 from macrolake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,25 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = f"SELECT -1L AS conv_id, n AS turn, element_at(array('user', 'assistant'), n + 1) AS role, '{HOSTILE}' AS text FROM (SELECT explode(array(0, 1)) AS n)"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_conversations(turns.union(spark.sql(hostile))))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.digests(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.rearrange(table(spark, sf_dir, "documents")))
+
+
+ORACLE_SQL["op12_fill_in_middle"] = infill.ORACLE_SQL
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.report(*codebooks.compress(table(spark, sf_dir, "embeddings")))
+
+
+ORACLE_SQL["op13_vector_codes"] = codebooks.oracle_sql()
