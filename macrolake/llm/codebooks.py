@@ -9,7 +9,8 @@ A part is assigned by its grid cell: the cell is a box, and an entry whose
 smallest distance to the box is above the smallest of all entries' largest
 distances to it can be nearest to no point inside. The entries that are left,
 a few of all, are remembered for the cell under the hash of its coordinates, and
-only they are compared with the part. Equal distances are never dropped, so ties
+only they are compared with the part. A part whose cell shares the hash of
+another is compared with all. Equal distances are never dropped, so ties
 go to the lower index as in a full search.
 
 Each task sums its members for each entry before the shuffle, so a value that
@@ -32,17 +33,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrolake.llm.common import bounded_batches
+from macrolake.llm.common import bounded_batches, stored
 
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
 #: Units of a component, and the largest number whose squared distances fit.
 UNITS, LARGEST = 256, 1 << 24
 #: Cells across the spread of a codebook's entries, and cells that a task remembers for each position.
-ACROSS, REMEMBERED = 12, 100_000
+ACROSS, REMEMBERED = 8, 20_000
 #: Pieces into which equal labels are spread when their sum is joined back.
 SALTS = 32
 
@@ -84,43 +84,68 @@ class Cells:
         self.entries, self.remembered = entries, remembered
         spread = int((entries.max(axis=0) - entries.min(axis=0)).max())
         self.shift = max(spread // across, 1).bit_length() - 1
-        self.known: dict[int, np.ndarray] = {}
         self.cells = self.compared = 0
-
-    def candidates(self, cells: np.ndarray) -> list[np.ndarray]:
-        """For each cell, the indexes of the entries that may be nearest to a point in it, ascending."""
-        low = (cells << self.shift)[:, None, :]
-        high = low + (1 << self.shift) - 1
-        entries = self.entries[None, :, :]
-        least = np.maximum(np.maximum(low - entries, entries - high), 0)
-        most = np.maximum(np.abs(entries - low), np.abs(entries - high))
-        open_ = (least * least).sum(axis=2) <= (most * most).sum(axis=2).min(axis=1)[:, None]
-        return [np.flatnonzero(row) for row in open_]
+        self.forget()
+
+    def forget(self) -> None:
+        """No cell is known."""
+        self.known: dict[int, int] = {}  # the hash of a cell, and its row in the tables below
+        self.corners = np.empty((0, self.entries.shape[1]), np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.lists = np.empty(0, np.int64)
+
+    def candidates(self, cells: np.ndarray) -> np.ndarray:
+        """For each cell, which entries may be nearest to a point in it."""
+        low = cells << self.shift
+        least, most = np.zeros((len(cells), len(self.entries)), np.int64), np.zeros((len(cells), len(self.entries)), np.int64)
+        for j in range(cells.shape[1]):
+            below = low[:, j, None] - self.entries[None, :, j]
+            above = -below - ((1 << self.shift) - 1)
+            out = np.maximum(np.maximum(below, above), 0)
+            least += out * out
+            out = np.maximum(np.abs(below), np.abs(above))
+            most += out * out
+        return least <= most.min(axis=1)[:, None]
+
+    def remember(self, keys: list[int], cells: np.ndarray) -> None:
+        for i in range(0, len(keys), 4096):  # bounds the distances held at once
+            open_ = self.candidates(cells[i : i + 4096])
+            self.known.update(zip(keys[i : i + 4096], range(len(self.corners), len(self.corners) + len(open_))))
+            self.corners = np.concatenate([self.corners, cells[i : i + 4096]])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(open_.sum(axis=1))])
+            self.lists = np.concatenate([self.lists, np.nonzero(open_)[1]])
+        self.cells += len(keys)
 
     def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) of each point's nearest entry, ties to the lower index."""
-        cells, cell_of = np.unique(points >> self.shift, axis=0, return_inverse=True)
-        keys = [xxhash.xxh3_128_digest(c.tobytes()) for c in np.ascontiguousarray(cells)]
-        if len(self.known) + len(keys) > self.remembered:
-            self.known.clear()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        for i in range(0, len(new), 1024):  # bounds the distances held at once
-            some = new[i : i + 1024]
-            self.known.update(zip((keys[j] for j in some), self.candidates(cells[some])))
-        lists = [self.known[k] for k in keys]
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        # Each point meets the entries of its cell; the first of the smallest distances wins.
-        n = counts[cell_of]
-        starts = np.cumsum(n) - n
-        within = np.arange(int(n.sum())) - np.repeat(starts, n)
-        entry = np.concatenate(lists)[np.repeat((np.cumsum(counts) - counts)[cell_of], n) + within]
-        away = np.repeat(points, n, axis=0) - self.entries[entry]
-        distance = (away * away).sum(axis=1)
-        best = np.minimum.reduceat(distance, starts)
+        cells = points >> self.shift
+        hashed = np.zeros(len(points), np.uint64)
+        for j in range(cells.shape[1]):
+            hashed = (hashed ^ (hashed >> np.uint64(29)) ^ cells[:, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        keys, at, of = np.unique(hashed, return_index=True, return_inverse=True)
+        listed = keys.tolist()
+        if len(self.known) + len(listed) > self.remembered:
+            self.forget()
+        new = [i for i, k in enumerate(listed) if k not in self.known]
+        self.remember([listed[i] for i in new], cells[at[new]])
+        row = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[of]
+        # Each point meets the entries of its cell, or all if another cell has its hash; the first of the smallest distances wins.
+        own = (self.corners[row] == cells).all(axis=1)
+        start, n = self.first[row], np.where(own, self.first[row + 1] - self.first[row], len(self.entries))
+        begin = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(begin - start, n)
+        if own.all():
+            entry = self.lists[place]
+        else:
+            entry = np.where(np.repeat(own, n), self.lists[np.minimum(place, len(self.lists) - 1)], place - np.repeat(start, n))
+        distance = np.zeros(len(entry), np.int64)
+        for j in range(points.shape[1]):
+            away = np.repeat(points[:, j], n) - self.entries[entry, j]
+            distance += away * away
+        best = np.minimum.reduceat(distance, begin)
         hits = np.flatnonzero(distance == np.repeat(best, n))
         owner = np.repeat(np.arange(len(points)), n)[hits]
         first = hits[np.append(True, owner[1:] != owner[:-1])]
-        self.cells += len(new)
         self.compared += len(entry)
         return entry[first], best
 
@@ -206,7 +231,7 @@ def compress(
         return rows.select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error")).limit(0), None
     for _ in range(rounds):
         books = trained(rows, books)
-    return encoded(rows, books), books
+    return stored(encoded(rows, books)), books
 
 
 def with_label_error(codes: DataFrame, salts: int = SALTS) -> DataFrame:
