@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrolake.functions.dates import as_date, month_bucket, month_series
-from macrolake.functions.stats import exact_avg, exact_sum, paired_corr, paired_count
-from macrolake.operators.monthly import SERIES, _in_month_order, pct_change
+from macrolake.functions.stats import paired_corr, paired_count
+from macrolake.operators.monthly import SERIES, _in_month_order, monthly_facts, pct_change
 
 DASHBOARD_COLUMNS = [
     "obs_month", "set_close", "set_mom", "set_volume", "usdthb", "usdthb_mom",
@@ -50,22 +50,32 @@ def dashboard_from_silver(
 ) -> DataFrame:
     """The dashboard straight from silver, reading the observations once.
 
-    One aggregate per (indicator, month) serves all six series; changes and
-    the carried-forward policy rate are computed on its few rows, then a
+    One aggregate per (indicator, month) serves all six series; the rest is
+    :func:`dashboard_from_facts` on its few rows.
+    """
+    codes = [set_index, set_volume, fx, policy, cpi, bond]
+    facts = monthly_facts(silver.filter(F.col("indicator_code").isin(codes)), SERIES, scale)
+    return dashboard_from_facts(facts, as_of, *codes)
+
+
+def dashboard_from_facts(
+    facts: DataFrame,
+    as_of: str | dt.date | Column,
+    set_index: str = "TH.SET_INDEX",
+    set_volume: str = "TH.SET_VOLUME",
+    fx: str = "FX.USDTHB",
+    policy: str = "TH.POLICY_RATE",
+    cpi: str = "TH.CPI_YOY",
+    bond: str = "TH.BOND_10Y",
+) -> DataFrame:
+    """The dashboard from (indicator_code, obs_month, last, sum, avg), one row per series and month.
+
+    Changes and the carried-forward policy rate are computed first, then a
     second aggregate turns indicators into columns.
     """
     end = month_bucket(as_date(as_of))
     code = F.col("indicator_code")
-    monthly = (
-        silver.filter(code.isin([set_index, set_volume, fx, policy, cpi, bond]))
-        .groupBy("indicator_code", month_bucket("obs_date").alias("obs_month"))
-        .agg(
-            F.max_by("value", "obs_date").alias("last"),
-            exact_sum("value", scale).alias("sum"),
-            exact_avg("value", scale).alias("avg"),
-        )
-        .filter((code != policy) | (F.col("obs_month") <= end))
-    )
+    monthly = facts.filter(code.isin([set_index, set_volume, fx, policy, cpi, bond])).filter((code != policy) | (F.col("obs_month") <= end))
     # The change is only taken for the two series that report one: a zero in
     # another series is not an error there.
     following = F.lead("obs_month").over(_in_month_order(SERIES))

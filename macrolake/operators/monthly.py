@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrolake.functions.dates import as_date, month_bucket, month_series
-from macrolake.functions.stats import exact_avg, exact_sum
+from macrolake.functions.stats import exact_avg, exact_sum, exponent_class, sum_classes, with_total
 from macrolake.operators.silver import select_series
 
 SERIES = ["indicator_code"]
@@ -33,18 +33,50 @@ def period_last(rows: DataFrame, keys: list[str] = SERIES, name: str = "value")
     return _by_month(rows, keys).agg(F.max_by("value", "obs_date").alias(name))
 
 
+def monthly_facts(rows: DataFrame, keys: list[str] = SERIES, scale: int | None = None) -> DataFrame:
+    """What the marts need of each month of a series: ``last`` observation, ``sum`` and ``avg`` of the values.
+
+    Sums do not depend on the order of the rows. With ``scale`` the values are
+    added as decimals of that many places. Without it they are added by classes of
+    their exponent, a month's classes are joined and rounded once: the sum is the
+    double nearest to the exact one.
+    """
+    if scale is not None:
+        return _by_month(rows, keys).agg(
+            F.max_by("value", "obs_date").alias("last"), exact_sum("value", scale).alias("sum"), exact_avg("value", scale).alias("avg")
+        )
+    month = month_bucket("obs_date").alias("obs_month")
+    classed = rows.select(*keys, "obs_date", "value", month).withColumn("_class", exponent_class("value"))
+    parts = classed.groupBy(*keys, "obs_month", "_class").agg(
+        F.max_by("value", "obs_date").alias("_last"),
+        F.max("obs_date").alias("_last_date"),
+        F.count("value").alias("_n"),
+        *[c.alias(name) for name, c in sum_classes("value", "_class").items()],
+    )
+    # One row for each class of a month: a few, however many observations it has.
+    months = parts.groupBy(*keys, "obs_month").agg(
+        F.max_by("_last", "_last_date").alias("last"),
+        F.sum("_n").alias("_n"),
+        F.sum("_special").alias("_special"),
+        F.expr("collect_list(CASE WHEN _class >= 0 THEN named_struct('class', _class, 'limb0', _limb0, 'limb1', _limb1, 'limb2', _limb2) END)").alias("_classes"),
+    )
+    return with_total(months, "_classes", "_special", "sum").select(
+        *keys, "obs_month", "last", "sum", F.try_divide("sum", "_n").alias("avg")
+    )
+
+
 def period_sum(
     rows: DataFrame, keys: list[str] = SERIES, name: str = "value", scale: int | None = None
 ) -> DataFrame:
-    """The sum of each month; ``scale`` adds exactly, as decimals of that many places."""
-    return _by_month(rows, keys).agg(exact_sum("value", scale).alias(name))
+    """The sum of each month, exact as in :func:`monthly_facts`."""
+    return monthly_facts(rows, keys, scale).select(*keys, "obs_month", F.col("sum").alias(name))
 
 
 def period_avg(
     rows: DataFrame, keys: list[str] = SERIES, name: str = "value", scale: int | None = None
 ) -> DataFrame:
-    """The mean of each month; ``scale`` as in :func:`period_sum`."""
-    return _by_month(rows, keys).agg(exact_avg("value", scale).alias(name))
+    """The mean of each month, its exact sum over its number of values."""
+    return monthly_facts(rows, keys, scale).select(*keys, "obs_month", F.col("avg").alias(name))
 
 
 def pct_change(column: str, keys: list[str]) -> Column:
@@ -66,21 +98,20 @@ def set_monthly(
     """Last index value, summed volume and index change per month.
 
     Months without an index value are left out; months without volume keep a
-    null volume. Both series are reduced in one aggregate instead of two
-    aggregates and a join.
+    null volume. Both series come out of one aggregate instead of two
+    aggregates and a join. Without ``scale`` the volumes are added as in
+    :func:`monthly_facts`.
     """
     is_index = F.col("indicator_code") == index_code
-    months = (
-        _by_month(select_series(silver, index_code, volume_code), [])
-        .agg(
-            F.max_by("value", F.when(is_index, F.col("obs_date"))).alias("set_close"),
-            exact_sum(F.when(~is_index, F.col("value")), scale).alias("set_volume"),
-            F.count_if(is_index).alias("_days"),
-        )
-        .filter("_days > 0")
-        .drop("_days")
-    )
-    return mom_pct(months, "set_close", "set_mom", [])
+    rows = select_series(silver, index_code, volume_code)
+    if scale is None:
+        last, volume = F.max(F.when(is_index, F.col("last"))), F.max(F.when(~is_index, F.col("sum")))
+        months = monthly_facts(rows).groupBy("obs_month")
+    else:
+        last, volume = F.max_by("value", F.when(is_index, F.col("obs_date"))), exact_sum(F.when(~is_index, F.col("value")), scale)
+        months = _by_month(rows, [])
+    present = months.agg(last.alias("set_close"), volume.alias("set_volume"), F.count_if(is_index).alias("_days")).filter("_days > 0")
+    return mom_pct(present.drop("_days"), "set_close", "set_mom", [])
 
 
 def fx_monthly(silver: DataFrame, code: str = "FX.USDTHB") -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OBSERVATION_KEY = ["indicator_code", "obs_date"]
+#: The columns that a merge of one source changes, and those that a merge of layers changes.
+VALUE_ONLY = ["value"]
+VALUE_AND_SOURCE = ["value", "source", "source_series_id"]
 
 
 @dataclass(frozen=True)
@@ -65,13 +68,24 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], update: l
     )
 
 
+def changed_rows(target: DataFrame, batch: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
+    """The batch rows that a merge would write: those with a new key, or with another value in an ``update`` column.
+
+    Sources deliver their whole history each time; this leaves what is new in
+    it. A null and a value differ, two nulls do not.
+    """
+    old = target.select(*keys, F.struct(*update).alias("_old"))
+    same = F.col("_old").eqNullSafe(F.struct(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in update]))
+    return batch.join(old, keys, "left").filter(F.col("_old").isNull() | ~same).select(*batch.columns)
+
+
 def upsert_value(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Merge observations: on conflict only ``value`` changes.
 
     unit, frequency, source, source_series_id and ingested_at keep what the
     first insert gave them.
     """
-    return merge_by_key(target, batch, OBSERVATION_KEY, ["value"])
+    return merge_by_key(target, batch, OBSERVATION_KEY, VALUE_ONLY)
 
 
 def upsert_dim(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -124,7 +138,7 @@ def _texts(values: Iterable[str]) -> Column:
 
 def layered_upsert(target: DataFrame, collapsed: DataFrame) -> DataFrame:
     """Merge collapsed layers: on conflict value, source and source_series_id change."""
-    return merge_by_key(target, collapsed, OBSERVATION_KEY, ["value", "source", "source_series_id"])
+    return merge_by_key(target, collapsed, OBSERVATION_KEY, VALUE_AND_SOURCE)
 
 
 def long_to_wide(long: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from macrolake.functions.dates import month_bucket as month_of
 from macrolake.functions.stats import exact_sum
-from macrolake.operators import crossmart, monthly, silver
+from macrolake.operators import crossmart, monthly, refresh, silver
 from macrolake.plans import inputs
 from macrolake.plans.inputs import (
     AS_OF,
@@ -22,6 +22,9 @@ from macrolake.plans.inputs import (
     table,
 )
 from macrolake.plans.registry import check
+from macrolake.session import shared_dir
+from macrolake.sources.lake import replace_partitions, scan_parquet
+from macrolake.sources.merge import BY_YEAR, kept, merge_by_year, with_year
 
 _CUSTOMER = ["custkey"]
 
@@ -72,9 +75,7 @@ def _shipped_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(
-    "upsert_value",
-    """WITH target AS (
+_UPSERTED = """WITH target AS (
       SELECT o_orderstatus AS indicator_code, CAST(o_orderdate AS DATE) AS obs_date, o_totalprice AS value
       FROM orders
       QUALIFY row_number() OVER (PARTITION BY o_orderstatus, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) = 1),
@@ -89,19 +90,34 @@ def _shipped_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM target t LEFT JOIN batch b ON t.indicator_code = b.indicator_code AND t.obs_date = b.obs_date
     UNION ALL
     SELECT b.indicator_code, b.obs_date, b.value, 'pieces', 'D', 'lineitem', 'l_quantity', DATE '2024-01-02'
-    FROM batch b ANTI JOIN target t ON t.indicator_code = b.indicator_code AND t.obs_date = b.obs_date""",
-)
+    FROM batch b ANTI JOIN target t ON t.indicator_code = b.indicator_code AND t.obs_date = b.obs_date"""
+
+
+@check("upsert_value", _UPSERTED)
 def upsert_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.upsert_value(_status_observations(spark, sf_dir), _shipped_observations(spark, sf_dir))
 
 
+def _merged_by_year(target: DataFrame, batch: DataFrame, update: list[str]) -> DataFrame:
+    """The merge as the jobs run it, on a stored table: once, and again with the same batch, which writes nothing."""
+    path = shared_dir(target.sparkSession)
+    stored = with_year(target)
+    replace_partitions(stored, path, *BY_YEAR)
+    for _ in range(2):
+        merge_by_year(lambda: scan_parquet(target.sparkSession, path, stored.schema).select(*stored.columns), path, batch, update)
+    return scan_parquet(target.sparkSession, path, stored.schema).select(*target.columns)
+
+
+@check("upsert_value_by_year", _UPSERTED)
+def upsert_value_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_by_year(_status_observations(spark, sf_dir), _shipped_observations(spark, sf_dir), silver.VALUE_ONLY)
+
+
 _LAYERS = [silver.Layer("F", "BIS", "series-F"), silver.Layer("O", "BOT_STAT", "series-O"),
            silver.Layer("P", "BOT", "series-P")]
 
 
-@check(
-    "layered_upsert",
-    """WITH layers AS (
+_LAYERED = """WITH layers AS (
       SELECT o_orderpriority AS indicator_code, CAST(o_orderdate AS DATE) AS obs_date, o_totalprice AS value,
              CASE o_orderstatus WHEN 'F' THEN 'BIS' WHEN 'O' THEN 'BOT_STAT' ELSE 'BOT' END AS source,
              'series-' || o_orderstatus AS source_series_id,
@@ -115,9 +131,11 @@ _LAYERS = [silver.Layer("F", "BIS", "series-F"), silver.Layer("O", "BOT_STAT", "
     SELECT coalesce(t.indicator_code, b.indicator_code) AS indicator_code, coalesce(t.obs_date, b.obs_date) AS obs_date,
            coalesce(b.value, t.value) AS value, CASE WHEN t.obs_date IS NULL THEN NULL ELSE 'percent' END AS unit,
            coalesce(b.source, 'OLD') AS source, coalesce(b.source_series_id, 'old') AS source_series_id
-    FROM target t FULL JOIN layers b ON t.indicator_code = b.indicator_code AND t.obs_date = b.obs_date""",
-)
-def layered_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    FROM target t FULL JOIN layers b ON t.indicator_code = b.indicator_code AND t.obs_date = b.obs_date"""
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What silver holds, from line items, and three layers of orders, collapsed."""
     flag = F.col("l_returnflag")
     code = F.when(flag == "A", "1-URGENT").when(flag == "N", "2-HIGH").otherwise("3-MEDIUM")
     target = (
@@ -135,7 +153,17 @@ def layered_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("pos"),
         F.col("o_orderstatus").alias("series_id"),
     )
-    return silver.layered_upsert(target, silver.collapse_layers(rows, _LAYERS))
+    return target, silver.collapse_layers(rows, _LAYERS)
+
+
+@check("layered_upsert", _LAYERED)
+def layered_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.layered_upsert(*_layers(spark, sf_dir))
+
+
+@check("layered_upsert_by_year", _LAYERED)
+def layered_upsert_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_by_year(*_layers(spark, sf_dir), silver.VALUE_AND_SOURCE)
 
 
 @check(
@@ -211,6 +239,24 @@ def period_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.period_sum(obs_long(spark, sf_dir), scale=SCALE)
 
 
+@check(
+    "period_sum_any_scale",
+    f"""WITH shifted AS (
+      SELECT o_orderpriority AS indicator_code, CAST(date_trunc('month', o_orderdate) AS DATE) AS obs_month,
+             CAST(round(o_totalprice) AS HUGEINT) * CAST(power(2, 3 * (o_orderkey % 7)) AS HUGEINT) AS whole FROM orders)
+    SELECT indicator_code, obs_month, CAST(sum(whole) AS DOUBLE) / 512 AS value, CAST(sum(whole) AS DOUBLE) / 512 / count(*) AS average
+    FROM shifted GROUP BY 1, 2""",
+)
+def period_sum_any_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole prices times powers of two from 2^-9 to 2^9: the SQL adds whole numbers."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("indicator_code"),
+        F.to_date("o_orderdate").alias("obs_date"),
+        (F.expr("floor(o_totalprice + 0.5D)") * F.expr("power(2D, 3 * (o_orderkey % 7) - 9)")).alias("value"),
+    )
+    return monthly.monthly_facts(rows).select("indicator_code", "obs_month", F.col("sum").alias("value"), F.col("avg").alias("average"))
+
+
 @check(
     "period_avg",
     f"""WITH {inputs.OBS_LONG}
@@ -298,6 +344,36 @@ def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 check("dashboard_monthly", f"WITH {inputs.DASHBOARD} SELECT * FROM dashboard_monthly")(dashboard)
 
 
+@check("dashboard_from_marts", f"WITH {inputs.DASHBOARD} SELECT * FROM dashboard_monthly")
+def dashboard_from_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form that the gold views run."""
+    market, orders = market_rows(spark, sf_dir), order_rows(spark, sf_dir)
+    return crossmart.dashboard_monthly(
+        monthly.set_monthly(market, scale=SCALE),
+        monthly.fx_monthly(orders),
+        monthly.policy_rate_monthly(orders, AS_OF),
+        monthly.cpi_monthly(orders, scale=SCALE),
+        monthly.bond_monthly(market, scale=SCALE),
+    )
+
+
+@check("dashboard_refresh", f"WITH {inputs.DASHBOARD} SELECT * FROM dashboard_monthly")
+def dashboard_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard of a part of the rows at an earlier day, brought up to all rows by two batches."""
+    rows = kept(silver_rows(spark, sf_dir))
+    batch = F.expr("pmod(xxhash64(indicator_code, trunc(obs_date, 'month')), 3)")
+    known, day = rows.filter(batch == 0), "1999-06-15"
+    facts = kept(monthly.monthly_facts(known, scale=SCALE))
+    board = kept(crossmart.dashboard_from_facts(facts, day))
+    for number, as_of in ((1, "1998-01-31"), (2, AS_OF)):
+        new = rows.filter(batch == number)
+        known, touched = known.union(new), kept(refresh.touched_months(new))
+        facts = kept(refresh.refreshed_facts(facts, known, touched, SCALE))
+        affected = refresh.affected_months(facts, touched, as_of, day)
+        board, day = kept(refresh.refreshed_dashboard(board, facts, affected, as_of)), as_of
+    return board
+
+
 @check(
     "real_rate_monthly",
     f"""WITH {inputs.MARTS}

@@ -5,6 +5,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -18,7 +19,7 @@ def _struct(**columns) -> StructType:
 
 
 _TEXT, _DATE, _NUM = StringType(), DateType(), DoubleType()
-_LONG, _TS, _BOOL = LongType(), TimestampType(), BooleanType()
+_LONG, _TS, _BOOL, _INT = LongType(), TimestampType(), BooleanType(), IntegerType()
 
 # Landed source files.
 MONTHLY_STATISTICS = _struct(period_start=_TEXT, value=_TEXT)
@@ -81,3 +82,21 @@ FORECAST_MONTHLY = _struct(
     model=_TEXT,
     generated_at=_TS,
 )
+
+# Gold: what the incremental refresh keeps. The year columns are the folders of partitioned tables.
+OBSERVATION_BY_YEAR = StructType([*MACRO_OBSERVATION, StructField("obs_year", _INT)])
+MONTHLY_FACTS = _struct(obs_month=_DATE, last=_NUM, sum=_NUM, avg=_NUM, indicator_code=_TEXT)
+DASHBOARD_MONTHLY = _struct(
+    obs_month=_DATE,
+    set_close=_NUM,
+    set_mom=_NUM,
+    set_volume=_NUM,
+    usdthb=_NUM,
+    usdthb_mom=_NUM,
+    policy_rate=_NUM,
+    cpi_yoy=_NUM,
+    bond_10y=_NUM,
+    real_rate=_NUM,
+)
+PENDING_MONTHS = _struct(indicator_code=_TEXT, obs_month=_DATE, merge=_TEXT)
+REFRESHED_UNTIL = _struct(as_of=_DATE)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+log = logging.getLogger(__name__)
+
 
 def scan_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A Parquet dataset by path, under a declared schema where one is given."""
@@ -33,16 +36,59 @@ def sink_partitioned(df: DataFrame, path: str, *keys: str) -> None:
 def sink_truncate_load(df: DataFrame, path: str, schema: StructType) -> None:
     """Full rebuild of a mart that keeps the mart's declared columns, order and types.
 
-    The rows are computed into a folder beside the mart first, so a load that
-    fails leaves the mart as it was.
+    The rows are written to a folder beside the mart, which then takes the
+    mart's place by :func:`publish`: whatever fails, the mart has either its
+    old or its new rows.
     """
     rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
-    spark, staging = df.sparkSession, f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"
+    spark, staging = df.sparkSession, _beside(path, "staging")
+    recover(spark, path)
     try:
         rows.write.parquet(staging)
-        spark.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
+        publish(spark, staging, path)
+    finally:
+        remove(spark, staging)
+
+
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Put a finished folder in the place of another, by renames within their file system.
+
+    The old folder is set aside, the new one moved into place, the old one
+    deleted. If the second step fails, the old folder is moved back; if the
+    last fails, the new rows stand and the old ones are left aside, which
+    :func:`recover` clears. Readers see the old or the new folder, except between
+    the two renames.
+    """
+    aside = _beside(path, "old")
+    had = _exists(spark, path)
+    if had:
+        _rename(spark, path, aside)
+    try:
+        _rename(spark, staging, path)
+    except Exception:
+        if had:
+            _rename(spark, aside, path)
+        raise
     finally:
-        _delete(spark, staging)
+        spark.catalog.refreshByPath(path)
+    if had:
+        try:
+            remove(spark, aside)
+        except Exception:
+            log.warning("%s is published, but its old rows were left in %s", path, aside, exc_info=True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Clean up after a load whose driver was lost: a folder set aside goes back if its place is empty, else it is deleted.
+
+    Call it only where no other load of the same folder is running.
+    """
+    for aside in _siblings(spark, path, "old"):
+        if _exists(spark, path):
+            remove(spark, aside)
+        else:
+            _rename(spark, aside, path)
+            spark.catalog.refreshByPath(path)
 
 
 def sink_truncate_load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
@@ -62,31 +108,87 @@ def replace_by_key(df: DataFrame, path: str, key: str, keys: list[str] | None =
         df = df.filter(F.col(key).isin(keys))
         found = {r[0] for r in df.select(key).distinct().collect()}
         absent = [k for k in keys if k not in found]
+    replace_partitions(df, path, key)
+    for value in absent:
+        remove(df.sparkSession, f"{path.rstrip('/')}/{key}={value}")
+
+
+def replace_partitions(df: DataFrame, path: str, *parts: str) -> None:
+    """Replace the partitions that ``df`` has rows for; all other folders are not touched."""
     (
-        df.hint("rebalance", key)
+        df.hint("rebalance", *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
+        .partitionBy(*parts)
         .parquet(path)
     )
-    for value in absent:
-        _delete(df.sparkSession, f"{path.rstrip('/')}/{key}={value}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def partitions_of(rows: DataFrame, *parts: str) -> list[Row]:
+    """The distinct partitions that some rows belong to."""
+    return rows.select(*parts).distinct().collect()
 
 
-def sink_overwrite_self(df: DataFrame, path: str, staging: str) -> None:
-    """Replace a dataset with a frame that reads the same dataset.
+def in_partitions(table: DataFrame, partitions: list[Row]) -> DataFrame:
+    """The rows of a partitioned table in the given partitions.
 
-    The result is first written to ``staging`` in the shared folder, so the
-    old files are only dropped once the new content is stored whole.
+    The filter holds partition values only, so the scan lists and reads no
+    other folder. Partitions that share all but the last value become one term.
     """
-    sink_overwrite(df, staging)
-    sink_overwrite(scan_parquet(df.sparkSession, staging, df.schema), path)
+    last_values: dict[tuple, list] = {}
+    for *outer, last in partitions:
+        last_values.setdefault(tuple(outer), []).append(last)
+    if not last_values:
+        return table.filter(F.lit(False))
+    names = partitions[0].__fields__
+    wanted = F.lit(False)
+    for outer, values in last_values.items():
+        term = F.col(names[-1]).isin(values)
+        for name, value in zip(names, outer):
+            term = (F.col(name) == F.lit(value)) & term
+        wanted = term if len(last_values) == 1 else wanted | term
+    return table.filter(wanted)
+
+
+def _beside(path: str, what: str) -> str:
+    """A fresh name next to a folder."""
+    return f"{path.rstrip('/')}__{what}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
+def _siblings(spark: SparkSession, path: str, what: str) -> list[str]:
+    """The folders that :func:`_beside` named for ``path``."""
+    folder, system = _folder(spark, f"{path.rstrip('/')}__{what}-*")
+    return [str(s.getPath().toString()) for s in system.globStatus(folder) or []]
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that is free."""
+    moved, system = _folder(spark, source)
+    to, _ = _folder(spark, target)
+    if system.exists(to) or not system.rename(moved, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def sink_overwrite_self(df: DataFrame, path: str) -> None:
+    """Replace a dataset with a frame that reads the same dataset; published as by :func:`sink_truncate_load`."""
+    sink_truncate_load(df, path, df.schema)
 
 
 def append_batch(

@@ -32,6 +32,34 @@ def read_landed(
     return reader.options(**options).load(path)
 
 
+def in_delivery_order(rows: DataFrame) -> DataFrame:
+    """A frame just read from files, with the order of delivery as ``pos``.
+
+    Later files come after earlier ones, files of one time in the order of
+    their paths, rows as they stand in their file. Spark itself reads large
+    files first and several at once, so the order is taken from the file metadata
+    and a range-partitioned sort; it is the same at any number of partitions.
+    Normalisers keep ``pos``, and landing stores it.
+    """
+    meta = F.col("_metadata")
+    placed = rows.select(
+        "*",
+        F.struct(
+            meta["file_modification_time"].alias("time"),
+            meta["file_path"].alias("path"),
+            meta["file_block_start"].alias("block"),
+            # A block is read by one task from its start to its end.
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("_delivered"),
+    )
+    return placed.orderBy("_delivered").withColumn("pos", F.monotonically_increasing_id()).drop("_delivered")
+
+
+def _kept(rows: DataFrame) -> list[str]:
+    """The order of delivery, where a frame has it."""
+    return ["pos"] if "pos" in rows.columns else []
+
+
 def optional_source(
     spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet", **options: str
 ) -> DataFrame:
@@ -77,6 +105,7 @@ def normalize_monthly_series(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.to_date("period_start", "yyyy-MM").alias("obs_date"),
         F.col("value").cast("double").alias("value"),
+        *_kept(rows),
     ).dropna()
 
 
@@ -86,20 +115,22 @@ def normalize_event_snapshot(records: DataFrame) -> DataFrame:
     The texts may be missing; ``raw`` keeps the whole record as JSON: the text
     as delivered where the records carry it, else all their columns.
     """
-    whole = F.col("raw") if "raw" in records.columns else F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    delivered = [c for c in records.columns if c not in _kept(records)]
+    whole = F.col("raw") if "raw" in records.columns else F.to_json(F.struct(*delivered), {"ignoreNullFields": "false"})
     return records.select(
         F.to_timestamp_ntz("effective_datetime", F.lit("yyyy-MM-dd HH:mm:ss")).cast("date").alias("obs_date"),
         F.col("data").cast("double").alias("value"),
         F.col("news_text_th").alias("news_th"),
         F.col("news_text_en").alias("news_en"),
         whole.alias("raw"),
+        *_kept(records),
     )
 
 
 def normalize_period_series(rows: DataFrame) -> DataFrame:
     """(period, value) -> (obs_date, value) without rows that miss either."""
-    rows = drop_missing_value(rows.select("period", "value"))
-    return rows.dropna(subset=["period"]).select(F.col("period").cast("date").alias("obs_date"), "value")
+    rows = drop_missing_value(rows.select("period", "value", *_kept(rows)))
+    return rows.dropna(subset=["period"]).select(F.col("period").cast("date").alias("obs_date"), "value", *_kept(rows))
 
 
 def drop_missing_value(rows: DataFrame, start: str | dt.date | Column | None = None) -> DataFrame:
@@ -125,4 +156,5 @@ def normalize_ohlc(quotes: DataFrame, ticker_separator: str = "|") -> DataFrame:
         field("Date").cast("date").alias("obs_date"),
         field("Close").cast("double").alias("close"),
         field("Volume").cast("double").alias("volume"),
+        *_kept(quotes),
     ).filter(F.col("volume") > 0)
