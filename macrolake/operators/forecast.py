@@ -8,6 +8,9 @@ parameter grid. A fold with built-in array functions computes the same numbers
 but is interpreted element by element (measured: about 10 microseconds a step),
 so the recursion is a vectorised pandas UDF that advances all series of an
 Arrow batch and all grid points together.
+
+:func:`hw_fit` takes the best grid point; :func:`hw_fit_optimised` goes on from
+there and fits weights and starting states together, as the jobs do.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ MODEL = "holt-winters"
 #: Candidate smoothing weights of level, trend and season. The ends matter: a price that
 #: moves like a random walk wants a level weight of one and a steady trend and season.
 GRID = (0.0, 0.1, 0.3, 0.6, 0.9, 1.0)
+#: Steps of the descent from a grid point at most.
+STEPS = 60
 #: Half-width of the band in residual standard deviations.
 BAND_WIDTH = 1.96
 
@@ -69,8 +74,8 @@ def hw_fit(actuals: DataFrame, season: int = SEASON, grid: tuple[float, ...] = G
     """Fit every series; one row per series with its weights, final state and residual spread.
 
     Points are taken in month order as consecutive, gaps are not filled. The
-    starting states come from the centred moving average of up to five first
-    seasons: the season from the mean distance to it, level and trend from a
+    starting states come from the centred moving average of all full seasons:
+    the season from the mean distance to it, level and trend from a
     straight line through its first season. A series that is exactly a line
     plus a season is therefore continued exactly. The weights (alpha, beta,
     gamma) are the grid point with the least sum of squared one-step errors,
@@ -78,7 +83,26 @@ def hw_fit(actuals: DataFrame, season: int = SEASON, grid: tuple[float, ...] = G
     two seasons are left out; see :func:`short_series` and
     :func:`require_two_seasons`.
     """
-    fit = F.pandas_udf(_grid_search(season, grid), _FIT_TYPE)
+    return _fitted(actuals, season, _grid_search(season, grid))
+
+
+def hw_fit_optimised(actuals: DataFrame, season: int = SEASON, grid: tuple[float, ...] = GRID, steps: int = STEPS) -> DataFrame:
+    """As :func:`hw_fit`, with weights between 0 and 1 and starting states that minimise the squared errors together.
+
+    A projected Gauss-Newton descent with damped steps starts at the best grid
+    point and at the best one for each inner weight of the season and of the
+    level, since the errors have several minima; derivatives come from the
+    recursion itself. The seasonal values sum to zero, since a level and
+    a season that differ by a constant give the same series. Every series has
+    its own damping and stops by itself, so a fit depends on no other series of
+    the batch and a rerun gives the same bits. The sum of squared errors is
+    never above the grid's.
+    """
+    return _fitted(actuals, season, _grid_search(season, grid, steps))
+
+
+def _fitted(actuals: DataFrame, season: int, search) -> DataFrame:
+    fit = F.pandas_udf(search, _FIT_TYPE)
     n = F.col("n").cast("double")
     variance = (F.col("fit.sse") - F.col("fit.sum_error") * F.col("fit.sum_error") / n) / (n - 1)
     return (
@@ -106,8 +130,8 @@ _FIT_TYPE = (
 )
 
 
-def _grid_search(season: int, grid: tuple[float, ...]):
-    """A function from arrays of values to the best fit of each, for a pandas UDF.
+def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
+    """A function from arrays of values to the best fit of each, for a pandas UDF; ``steps`` bounds the descent from there.
 
     All helpers are nested, so that executors need not have this package.
     """
@@ -155,7 +179,7 @@ def _grid_search(season: int, grid: tuple[float, ...]):
         best = np.argmin(sse, axis=1)
         row = np.arange(len(y))
         upcoming = [seasonals[(y.shape[1] + h) % season][row, best] for h in range(season)]
-        return pd.DataFrame(
+        found = pd.DataFrame(
             {
                 "alpha": alpha[best],
                 "beta": beta[best],
@@ -167,6 +191,105 @@ def _grid_search(season: int, grid: tuple[float, ...]):
                 "seasonals": list(np.stack(upcoming, axis=1)),
             }
         )
+        if not steps or not len(y):
+            return found
+        states = np.stack([level0, trend0, *season0], axis=1)
+        starts = [best] + [some[np.argmin(sse[:, some], axis=1)] for some in groups]
+        x = np.concatenate([np.concatenate([weights_of[start], states], axis=1) for start in starts])
+        tries = follow(np.tile(y, (len(starts), 1)), descend(np.tile(y, (len(starts), 1)), x))
+        for i in range(len(starts)):
+            other = tries.iloc[i * len(y) : (i + 1) * len(y)].reset_index(drop=True)
+            better = other["sse"].to_numpy() < found["sse"].to_numpy()
+            found = pd.concat([found[~better], other[better]]).sort_index()
+        return found
+
+    weights_of = np.stack([alpha, beta, gamma], axis=1)
+    # The squared errors have several minima, mostly apart in the weight of the season and that of the level.
+    within = (weights_of > 0) & (weights_of < 1)
+    groups = [np.flatnonzero(within[:, :2].all(axis=1) & (gamma == g)) for g in sorted(set(gamma)) if 0 < g < 1]
+    groups += [np.flatnonzero(within[:, 1:].all(axis=1) & (alpha == g)) for g in sorted(set(alpha)) if 0 < g < 1]
+    groups = [g for g in groups if len(g)]
+
+    def follow(y: np.ndarray, x: np.ndarray) -> pd.DataFrame:
+        """The fit with given weights and starting states (alpha, beta, gamma, level, trend, one value per season position)."""
+        a, b, c, level, trend = x[:, :5].T
+        seasonals = list(x[:, 5:].T)
+        sum_error, sse = np.zeros(len(y)), np.zeros(len(y))
+        for t in range(y.shape[1]):
+            value, oldest = y[:, t], seasonals[t % season]
+            base = level + trend
+            error = value - (base + oldest)
+            before, level = level, a * (value - oldest) + (1 - a) * base
+            trend = b * (level - before) + (1 - b) * trend
+            seasonals[t % season] = c * (value - base) + (1 - c) * oldest
+            sum_error, sse = sum_error + error, sse + error * error
+        upcoming = np.stack([seasonals[(y.shape[1] + h) % season] for h in range(season)], axis=1)
+        return pd.DataFrame(
+            {"alpha": a, "beta": b, "gamma": c, "sse": sse, "sum_error": sum_error, "level": level, "trend": trend, "seasonals": list(upcoming)}
+        )
+
+    def slopes(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sum of squares, half its gradient, Gauss-Newton matrix) over the unknowns: all of ``x`` but the last season value."""
+        n, unknowns = len(y), x.shape[1] - 1
+        a, b, c, level, trend = x[:, :5].T
+        unit = np.eye(unknowns)
+        d_level, d_trend = np.tile(unit[3], (n, 1)), np.tile(unit[4], (n, 1))
+        seasonals = list(x[:, 5:].T)
+        d_seasonals = [np.tile(unit[5 + i], (n, 1)) for i in range(season - 1)] + [np.tile(-unit[5:].sum(axis=0), (n, 1))]
+        sse, gradient, matrix = np.zeros(n), np.zeros((n, unknowns)), np.zeros((n, unknowns, unknowns))
+        for t in range(y.shape[1]):
+            i = t % season
+            base, d_base = level + trend, d_level + d_trend
+            error, d_error = y[:, t] - base - seasonals[i], -(d_base + d_seasonals[i])
+            new, d_new = base + a * error, d_base + a[:, None] * d_error
+            d_new[:, 0] += error
+            d_trend = b[:, None] * (d_new - d_level) + (1 - b)[:, None] * d_trend
+            d_trend[:, 1] += new - level - trend
+            trend = b * (new - level) + (1 - b) * trend
+            d_season = d_seasonals[i] + c[:, None] * d_error
+            d_season[:, 2] += error
+            d_seasonals[i], seasonals[i] = d_season, seasonals[i] + c * error
+            level, d_level = new, d_new
+            sse = sse + error * error
+            gradient += d_error * error[:, None]
+            matrix += d_error[:, :, None] * d_error[:, None, :]
+        return sse, gradient, matrix
+
+    def descend(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Better unknowns for each series, by damped steps that stay within the bounds of the weights."""
+        damping, open_ = np.full(len(y), 1e-3), np.arange(len(y))
+        x = x.copy()
+        x[:, 5:] -= x[:, 5:].mean(axis=1, keepdims=True)
+        state = [s.copy() for s in slopes(y, x)]
+        for _ in range(steps):
+            if not len(open_):
+                break
+            sse, gradient, matrix = (s[open_] for s in state)
+            # A weight at its bound that wants to go beyond stays there.
+            held = np.zeros(gradient.shape, bool)
+            held[:, :3] = ((x[open_, :3] <= 0) & (gradient[:, :3] > 0)) | ((x[open_, :3] >= 1) & (gradient[:, :3] < 0))
+            scale = np.einsum("nii->ni", matrix).copy()
+            scale[held | (scale <= 0)] = 1.0
+            matrix[held], gradient[held] = 0.0, 0.0
+            matrix = matrix.transpose(0, 2, 1).copy()
+            matrix[held] = 0.0
+            n, k = scale.shape
+            matrix[:, range(k), range(k)] += np.where(held, 1.0, 0.0) + scale * damping[open_, None] + 1e-12
+            move = np.linalg.solve(matrix, -gradient[:, :, None])[:, :, 0]
+            trial = x[open_].copy()
+            trial[:, :-1] += move
+            trial[:, :3] = np.clip(trial[:, :3], 0.0, 1.0)
+            trial[:, -1] = -trial[:, 5:-1].sum(axis=1)
+            reached = slopes(y[open_], trial)
+            better = reached[0] < sse
+            at = open_[better]
+            x[at] = trial[better]
+            for s, r in zip(state, reached):
+                s[at] = r[better]
+            damping[open_] *= np.where(better, 0.2, 5.0)
+            gained = better & (sse - reached[0] > 1e-10 * sse)
+            open_ = open_[gained | (~better & (damping[open_] < 1e8))]
+        return x
 
     def fit(series: pd.Series) -> pd.DataFrame:
         lengths = series.map(len)

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, StructType
 
@@ -35,6 +35,8 @@ class Rule:
     name: str
     column: str | None
     failures: Callable[[StructType], Column]
+    #: Failures of an expected group that has no rows.
+    when_absent: int = 0
 
 
 def _missing(schema: StructType, column: str) -> Column:
@@ -82,11 +84,11 @@ def has_type(column: str, dtype: DataType) -> Rule:
 
 def min_rows(n: int) -> Rule:
     """Fails by the number of rows that are missing."""
-    return Rule("min_rows", None, lambda _: F.greatest(F.lit(n) - F.count("*"), F.lit(0)))
+    return Rule("min_rows", None, lambda _: F.greatest(F.lit(n) - F.count("*"), F.lit(0)), max(n, 0))
 
 
 def exact_rows(n: int) -> Rule:
-    return Rule("exact_rows", None, lambda _: F.abs(F.count("*") - F.lit(n)))
+    return Rule("exact_rows", None, lambda _: F.abs(F.count("*") - F.lit(n)), abs(n))
 
 
 def fresh(column: str, as_of: str | dt.date | Column, max_days: int) -> Rule:
@@ -96,12 +98,12 @@ def fresh(column: str, as_of: str | dt.date | Column, max_days: int) -> Rule:
         late = F.date_diff(as_date(as_of), F.max(column)) - F.lit(max_days)
         return F.when(F.max(column).isNull(), 1).otherwise(F.greatest(late, F.lit(0))).cast("bigint")
 
-    return Rule("fresh", column, failures)
+    return Rule("fresh", column, failures, 1)
 
 
 def min_distinct(column: str, n: int) -> Rule:
     """Fails by the number of distinct values that are missing."""
-    return Rule("min_distinct", column, lambda _: F.greatest(F.lit(n) - F.count_distinct(column), F.lit(0)))
+    return Rule("min_distinct", column, lambda _: F.greatest(F.lit(n) - F.count_distinct(column), F.lit(0)), max(n, 0))
 
 
 def band_order(low: str, middle: str, high: str) -> Rule:
@@ -116,22 +118,24 @@ def within_factor(column: str, reference: str, factor: float) -> Rule:
     return Rule("within_factor", column, lambda _: F.count_if(~F.coalesce(inside, F.lit(False))))
 
 
-def dq_report(df: DataFrame, suite: str, rules: list[Rule], by: list[str] | None = None) -> DataFrame:
+def dq_report(df: DataFrame, suite: str, rules: list[Rule], by: list[str] | None = None, expected: DataFrame | None = None) -> DataFrame:
     """Evaluate all rules in one pass; with ``by``, one set of report rows per group.
 
     A rule on a column that does not exist is reported as failed, with an
-    unknown number of failures.
+    unknown number of failures. ``expected`` lists the groups there must be
+    (its columns ``by``; others and repeats do not matter): one without rows is
+    reported with ``n_rows`` 0, and rules that ask for rows, distinct values or
+    freshness fail on it. Groups that were not expected are reported too.
     """
     by = by or []
     rules = [*rules]
-    counts = [
-        r.failures(df.schema) if r.name == "has_type" or r.column is None or r.column in df.columns
-        else F.lit(None).cast("bigint")
-        for r in rules
-    ]
+    absent = [r.column is not None and r.column not in df.columns and r.name != "has_type" for r in rules]
+    counts = [F.lit(None).cast("bigint") if gone else r.failures(df.schema) for r, gone in zip(rules, absent)]
     totals = df.groupBy(*by).agg(
         F.count("*").alias("_rows"), *[c.cast("bigint").alias(f"_f{i}") for i, c in enumerate(counts)]
     )
+    if expected is not None:
+        totals = _with_absent_groups(totals, df.schema, rules, absent, by, expected)
     lines = [
         F.struct(
             F.lit(suite).alias("suite"),
@@ -146,6 +150,49 @@ def dq_report(df: DataFrame, suite: str, rules: list[Rule], by: list[str] | None
     return totals.select(*by, F.inline(F.array(*lines)))
 
 
+def _with_absent_groups(
+    totals: DataFrame, schema: StructType, rules: list[Rule], absent: list[bool], by: list[str], expected: DataFrame
+) -> DataFrame:
+    """The totals of the groups, and those of expected groups without rows; null-safe, as grouping is."""
+    wanted = expected.select(*[F.col(c).alias(f"_want_{c}") for c in by]).distinct().withColumn("_wanted", F.lit(True))
+    same = F.lit(True)
+    for c in by:
+        same = same & totals[c].eqNullSafe(F.col(f"_want_{c}"))
+    joined = totals.withColumn("_there", F.lit(True)).join(wanted, same, "full_outer")
+    there = F.col("_there").isNotNull()
+
+    def empty(rule: Rule, gone: bool) -> Column:
+        if gone:
+            return F.lit(None).cast("bigint")
+        return rule.failures(schema) if rule.name == "has_type" else F.lit(rule.when_absent).cast("bigint")
+
+    return joined.select(
+        *[F.when(there, F.col(c)).otherwise(F.col(f"_want_{c}")).alias(c) for c in by],
+        F.coalesce("_rows", F.lit(0)).cast("bigint").alias("_rows"),
+        *[F.when(there, F.col(f"_f{i}")).otherwise(empty(r, gone)).alias(f"_f{i}") for i, (r, gone) in enumerate(zip(rules, absent))],
+    )
+
+
+def month_gaps(rows: DataFrame, by: list[str], month: str = "obs_month") -> DataFrame:
+    """The months missing between the first and last of each series: (by, gap_from, gap_to, n_months), one row for each gap.
+
+    Rows are reduced to months before the window, so a series meets as at
+    most its calendar months. Null months do not count.
+    """
+    months = rows.filter(F.col(month).isNotNull()).select(*by, F.trunc(month, "month").alias("_month")).distinct()
+    following = F.lead("_month").over(Window.partitionBy(*by).orderBy("_month"))
+    return (
+        months.withColumn("_next", following)
+        .filter(F.col("_next") > F.add_months("_month", 1))
+        .select(
+            *by,
+            F.add_months("_month", 1).alias("gap_from"),
+            F.add_months("_next", -1).alias("gap_to"),
+            (F.months_between("_next", "_month") - 1).cast("int").alias("n_months"),
+        )
+    )
+
+
 def dq_enforce(report: DataFrame, shown: int = 100, path: str | None = None) -> None:
     """Raise if any rule failed. Run it before the write, so that a failed gate leaves the mart as it was.
 

@@ -2,21 +2,21 @@
 
 Gold has one row per calendar month (and indicator), so windows over the months
 of a mart or of an indicator are bounded by the calendar, not by the data.
-Results of any size (:func:`preview_with_total`) are counted and cut with
-partial results instead.
+Results of any size (:func:`preview_with_total`) are counted while they are cut.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from macrolake.functions.dates import as_date, month_bucket
 from macrolake.functions.text import is_safe_select
-from macrolake.session import shared_dir
 
 #: Metrics of the headline figures, each with its monthly change where the mart has one.
 HEADLINE_METRICS = {"set_close": "set_mom", "usdthb": "usdthb_mom", "policy_rate": None, "cpi_yoy": None}
@@ -68,17 +68,20 @@ def month_range(dashboard: DataFrame, lo: str | dt.date | Column, hi: str | dt.d
 
 
 def latest_stats(dashboard: DataFrame) -> DataFrame:
-    """Per headline metric: its last non-null value, that month, the change in that same row and its sign."""
+    """Per headline metric: its last non-null value, that month, the change in that same row and its sign.
+
+    A metric without a value has a row of nulls.
+    """
     picks = [
-        f"""max_by(named_struct('metric', '{metric}', 'obs_month', obs_month, 'value', {metric},
+        f"""max_by(named_struct('obs_month', obs_month, 'value', {metric},
             'mom', {change or "cast(null as double)"}), if({metric} is null, null, obs_month)) as {metric}"""
         for metric, change in HEADLINE_METRICS.items()
     ]
+    lines = [f"named_struct('metric', '{m}', 'obs_month', {m}.obs_month, 'value', {m}.value, 'mom', {m}.mom)" for m in HEADLINE_METRICS]
     direction = F.expr("case when mom >= 0 then 'up' when mom < 0 then 'down' end")
     return (
         dashboard.agg(*[F.expr(pick) for pick in picks])
-        .select(F.inline(F.array(*HEADLINE_METRICS)))
-        .filter(F.col("metric").isNotNull())
+        .select(F.expr(f"inline(array({', '.join(lines)}))"))
         .withColumn("direction", direction)
     )
 
@@ -164,13 +167,14 @@ def extreme_month(dashboard: DataFrame, metric: str, year: int | None = None, hi
 def preview_with_total(result: DataFrame, order: list[str], n: int = 12) -> DataFrame:
     """The first ``n`` rows in a given order, each with the total row count.
 
-    The result is stored once, so the rows and the count cannot disagree.
+    One pass: the rows are counted as they flow into the top-k, whose ``n``
+    rows are all that leaves the cluster.
     """
-    path = shared_dir(result.sparkSession)
-    result.write.parquet(path)
-    result = result.sparkSession.read.schema(result.schema).parquet(path)
-    total = result.agg(F.count("*").alias("n")).scalar()
-    return result.orderBy(*order).limit(n).withColumn("total_rows", total)
+    seen = Observation()
+    counted = result.observe(seen, F.count(F.lit(1)).alias("n"))
+    rows = counted.orderBy(*order).limit(n).collect()
+    first = result.sparkSession.createDataFrame(rows, result.schema)
+    return first.orderBy(*order).withColumn("total_rows", F.lit(seen.get["n"]).cast("bigint"))
 
 
 def actual_vs_forecast(forecast: DataFrame, is_forecast: bool) -> DataFrame:
@@ -183,38 +187,102 @@ class UnsafeStatement(ValueError):
     """The text is not one read-only SELECT over the gold views."""
 
 
-# Built-in functions that run arbitrary code of the driver's or executors' class path. The bare name is
-# enough to reject a text, however it is quoted or set apart from its arguments.
-_CODE_CALLS = re.compile(r"\b(reflect|try_reflect|java_method)\b", re.IGNORECASE)
+# The operators an answer may be made of; relations other than the gold views are none of them.
+_OPERATORS = frozenset(
+    "Project Filter Aggregate Join Sort GlobalLimit LocalLimit Offset Distinct Deduplicate Union Intersect Except Window Expand Generate "
+    "LateralJoin Subquery SubqueryAlias WithCTE CTERelationDef CTERelationRef OneRowRelation ResolvedHint".split()
+)
+# Expressions that run code of the class path or a worker, or tell where files lie.
+_FORBIDDEN = frozenset("CallMethodViaReflection ScalaUDF PythonUDF PythonUDAF PythonUDTF InputFileName".split())
+
+
+def isolated_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with the same settings, and without the caller's temp views, functions and database."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.runSQLOnFiles", "false")
+    return session
 
 
-def guarded_gold_query(spark: SparkSession, statement: str, views: dict[str, DataFrame]) -> DataFrame:
+def guarded_gold_query(spark: SparkSession, statement: str, relations: Callable[[SparkSession], dict[str, DataFrame]]) -> DataFrame:
     """Run a SELECT over the named gold views after the statement screen.
 
-    Views may be written as ``gold.<name>`` or ``<name>``. Files cannot be
-    addressed by path, and every file the answer reads must belong to one of
-    the views. Other text is rejected.
+    ``relations`` builds the views in the session it is given, which is a
+    fresh one: nothing of the caller's is seen or replaced. Views may be
+    written as ``gold.<name>`` or ``<name>``. The decision is made on the
+    analysed plan, before anything runs: all its leaves must be gold views, it
+    may hold no command, no operator beyond those of queries, no function that
+    runs other code. Other text is rejected. The answer belongs to the fresh session.
     """
     safe = spark.range(1).select(is_safe_select(F.lit(statement)).alias("safe")).first()["safe"]
-    body = statement.strip().rstrip(";")
-    if not safe or _CODE_CALLS.search(body):
+    if not safe:
         raise UnsafeStatement(statement)
+    session = isolated_session(spark)
+    views = relations(session)
     for name, view in views.items():
         view.createOrReplaceTempView(name)
-    allowed = spark.conf.get("spark.sql.runSQLOnFiles")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
-    try:
-        answer = spark.sql(_unqualified(body, views))
-    finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", allowed)
-    readable = {f for view in views.values() for f in view.inputFiles()}
-    if not set(answer.inputFiles()) <= readable:
+    body = _unqualified(statement.strip().rstrip(";"), views)
+    if _holds_command(session, body):
         raise UnsafeStatement(statement)
+    try:
+        answer = session.sql(body)
+    except AnalysisException as error:
+        if error.getCondition() in ("TABLE_OR_VIEW_NOT_FOUND", "UNSUPPORTED_DATASOURCE_FOR_DIRECT_QUERY"):
+            raise UnsafeStatement(f"{statement}: relation not found in gold") from error
+        raise
+    if reason := _not_gold(session, answer, views):
+        raise UnsafeStatement(f"{statement}: {reason}")
     return answer
 
 
+def _holds_command(session: SparkSession, text: str) -> bool:
+    """Whether the parsed text would do something rather than ask."""
+    command = session._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
+    nodes = [session._jsparkSession.sessionState().sqlParser().parsePlan(text)]
+    while nodes:
+        node = nodes.pop()
+        if command.isInstance(node):
+            return True
+        nodes += _listed(node.children())
+    return False
+
+
+def _not_gold(session: SparkSession, answer: DataFrame, views: dict[str, DataFrame]) -> str | None:
+    """What in the analysed plan is neither a gold view nor a plain operator or expression over them; None if all is well."""
+    subquery = session._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.expressions.PlanExpression")
+    nodes = [answer._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "View":
+            name = node.desc().identifier()
+            if node.isTempView() and name.database().isEmpty() and name.table().lower() in views:
+                continue  # what a gold view is made of is not the asker's
+            return f"{name.unquotedString()} is not in gold"
+        if kind not in _OPERATORS:
+            return f"{kind} is not allowed"
+        nodes += _listed(node.children())
+        expressions = _listed(node.expressions())
+        while expressions:
+            expression = expressions.pop()
+            full = expression.getClass().getName()
+            if not full.startswith("org.apache.spark.sql.catalyst.") or full.rsplit(".", 1)[-1] in _FORBIDDEN:
+                return f"{expression.prettyName()} is not allowed"
+            if subquery.isInstance(expression):
+                nodes.append(expression.plan())
+            expressions += _listed(expression.children())
+    return None
+
+
+def _listed(items) -> list:
+    return [items.apply(i) for i in range(items.size())]
+
+
 def _unqualified(statement: str, views: dict[str, DataFrame]) -> str:
-    """Drop the ``gold.`` in front of view names, outside of quoted text."""
-    qualified = re.compile(rf"\bgold\.({'|'.join(map(re.escape, views))})\b", re.IGNORECASE)
-    pieces = re.split(r"('(?:[^']|'')*')", statement)
-    return "".join(p if p.startswith("'") else qualified.sub(r"\1", p) for p in pieces)
+    """Drop the ``gold.`` in front of view names, outside of quoted text and comments."""
+    qualified = re.compile(rf"(?<![\w.`])(?:gold|`gold`)\s*\.\s*(`?)({'|'.join(map(re.escape, views))})\1(?![\w`])", re.IGNORECASE)
+    quoted = r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|--[^\n]*|/\*.*?\*/)"""
+    pieces = re.split(quoted, statement, flags=re.DOTALL)
+    return "".join(p if i % 2 else qualified.sub(r"\2", p) for i, p in enumerate(pieces))

@@ -43,6 +43,24 @@ def hw_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.hw_fit(supplier_panel(spark, sf_dir)).drop("seasonals")
 
 
+@check(
+    "hw_fit_optimised",
+    f"""WITH {inputs.SUPPLIER_PANEL}
+    SELECT indicator, CAST(count(*) AS INTEGER) AS n, max(obs_month) AS last_month, true AS not_above_grid, true AS within_bounds
+    FROM panel GROUP BY 1 HAVING count(*) >= 24""",
+)
+def hw_fit_optimised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the optimiser promises of every series; the numbers are tested against other minimisers."""
+    panel = supplier_panel(spark, sf_dir)
+    grid = forecast.hw_fit(panel).select("indicator", F.col("sse").alias("grid_sse"))
+    inside = F.lit(True)
+    for weight in ("alpha", "beta", "gamma"):
+        inside = inside & F.col(weight).between(0, 1)
+    return forecast.hw_fit_optimised(panel).join(grid, "indicator").select(
+        "indicator", "n", "last_month", (F.col("sse") <= F.col("grid_sse")).alias("not_above_grid"), inside.alias("within_bounds")
+    )
+
+
 @check("hw_forecast", f"{_SUPPLIER_FIT} SELECT indicator, obs_month, yhat FROM bands")
 def hw_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.hw_forecast(forecast.hw_fit(supplier_panel(spark, sf_dir)))
@@ -161,6 +179,49 @@ def dq_exact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_report(supplier_panel(spark, sf_dir), "months", [quality.exact_rows(83)], ["indicator"])
 
 
+#: A series of each supplier is expected, and one of each customer; customers without a supplier's number are absent.
+_EXPECTED = """
+months AS (SELECT indicator, count(*) AS n FROM panel GROUP BY 1),
+wanted AS (SELECT CAST(s_suppkey AS VARCHAR) AS indicator FROM supplier UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer),
+counted AS (SELECT indicator, coalesce(n, 0) AS n FROM months FULL JOIN wanted USING (indicator))"""
+
+
+@check(
+    "dq_expected_groups",
+    f"""WITH {inputs.SUPPLIER_PANEL}, {_EXPECTED},
+    rules(rule, column_name) AS (VALUES ('exact_rows', NULL), ('min_rows', NULL), ('not_null', 'value'))
+    SELECT indicator, 'complete' AS suite, rule, column_name, n AS n_rows,
+           CASE rule WHEN 'exact_rows' THEN abs(n - 83) WHEN 'min_rows' THEN greatest(24 - n, 0) ELSE 0 END AS n_failed,
+           CASE rule WHEN 'exact_rows' THEN n = 83 WHEN 'min_rows' THEN n >= 24 ELSE true END AS passed
+    FROM counted, rules""",
+)
+def dq_expected_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def keys(name: str, column: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.col(column).cast("string").alias("indicator"))
+
+    wanted = keys("supplier", "s_suppkey").union(keys("customer", "c_custkey"))
+    rules = [quality.exact_rows(83), quality.min_rows(24), quality.not_null("value")]
+    return quality.dq_report(supplier_panel(spark, sf_dir), "complete", rules, ["indicator"], wanted)
+
+
+@check(
+    "month_gaps",
+    f"""WITH {inputs.CUSTOMER_OBS},
+    numbered AS (
+      SELECT DISTINCT custkey, CAST(12 * year(obs_date) + month(obs_date) - 1 AS BIGINT) AS m FROM customer_obs),
+    islands AS (
+      SELECT custkey, min(m) AS first_m, max(m) AS last_m
+      FROM (SELECT custkey, m, m - row_number() OVER (PARTITION BY custkey ORDER BY m) AS island FROM numbered) GROUP BY custkey, island),
+    gaps AS (
+      SELECT custkey, last_m + 1 AS a, lead(first_m) OVER (PARTITION BY custkey ORDER BY first_m) - 1 AS b FROM islands)
+    SELECT custkey, make_date(a // 12, a % 12 + 1, 1) AS gap_from, make_date(b // 12, b % 12 + 1, 1) AS gap_to,
+           CAST(b - a + 1 AS INTEGER) AS n_months
+    FROM gaps WHERE b IS NOT NULL""",
+)
+def month_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.month_gaps(inputs.customer_obs(spark, sf_dir), ["custkey"], "obs_date")
+
+
 @check(
     "dq_freshness",
     _report_sql(
@@ -298,9 +359,10 @@ def latest_n_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest_stat_sql(metric: str, change: str) -> str:
-    return f"""(SELECT '{metric}' AS metric, obs_month, {metric} AS value, {change} AS mom,
-      CASE WHEN {change} >= 0 THEN 'up' WHEN {change} < 0 THEN 'down' END AS direction
-      FROM dashboard_monthly WHERE {metric} IS NOT NULL ORDER BY obs_month DESC LIMIT 1)"""
+    return f"""(SELECT '{metric}' AS metric, max(obs_month) AS obs_month, arg_max({metric}, obs_month) AS value,
+      arg_max(ROW({change}), obs_month)[1] AS mom,
+      CASE WHEN mom >= 0 THEN 'up' WHEN mom < 0 THEN 'down' END AS direction
+      FROM dashboard_monthly WHERE {metric} IS NOT NULL)"""
 
 
 @check(
@@ -399,14 +461,17 @@ def actual_vs_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM dashboard_monthly WHERE usdthb IS NOT NULL GROUP BY 1""",
 )
 def guarded_gold_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = dashboard(spark, sf_dir)
-    views = {"dashboard_monthly": marts, "correlation_matrix": crossmart.correlation_matrix(marts)}
+
+    def gold(session: SparkSession) -> dict[str, DataFrame]:
+        marts = dashboard(session, sf_dir)
+        return {"dashboard_monthly": marts, "correlation_matrix": crossmart.correlation_matrix(marts)}
+
     statement = """
         WITH d AS (SELECT obs_month, usdthb, real_rate FROM gold.dashboard_monthly WHERE usdthb IS NOT NULL)
         SELECT year(obs_month) AS year, max(usdthb) AS highest, count(real_rate) AS months
         FROM d GROUP BY 1 ORDER BY 1;
     """
-    return serving.guarded_gold_query(spark, statement, views)
+    return serving.guarded_gold_query(spark, statement, gold)
 
 
 # --- text columns ---------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -421,7 +421,7 @@ def refresh_forecasts(lake: Lake, *codes: str, periods: int = forecast.PERIODS)
         series = forecast.actuals_series(lake.mart(mart), column, code)
         actuals = series if actuals is None else actuals.unionByName(series)
     forecast.require_two_seasons(actuals, expected=[code for code, _, _ in chosen])
-    ahead = forecast.hw_band(forecast.hw_fit(actuals), periods)
+    ahead = forecast.hw_band(forecast.hw_fit_optimised(actuals), periods)
     # The gate and the write below read the same fit: store it once instead of fitting twice.
     staging = shared_dir(lake.spark)
     tables.sink_overwrite(ahead, staging)
@@ -459,4 +459,4 @@ def gold_views(lake: Lake) -> dict[str, DataFrame]:
 
 def ask(lake: Lake, statement: str) -> DataFrame:
     """Answer one screened SELECT over the gold layer."""
-    return serving.guarded_gold_query(lake.spark, statement, gold_views(lake))
+    return serving.guarded_gold_query(lake.spark, statement, lambda session: gold_views(replace(lake, spark=session)))

@@ -6,13 +6,16 @@ are narrow projections and filters, so they stay inside the scan stage.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import logging
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from macrolake import schemas
 from macrolake.functions.dates import as_date
@@ -77,6 +80,46 @@ def optional_source(
         return empty_frame(spark, schema)
 
 
+def read_with_header_rows(spark: SparkSession, path: str, levels: int = 2, separator: str = "|", schema: StructType | None = None) -> DataFrame:
+    """CSV files whose column names are spread over several header rows, such as field and ticker.
+
+    A column is named by its levels, joined by ``separator``; levels that
+    repeat the first column's label (``Price``, ``Ticker``) or are empty do not
+    count. A further row that labels the first column alone (``Date``) names it.
+    Names come from the first lines of one file; nothing is inferred from the
+    data. All files must have the same header rows. Columns are text, or
+    of the type ``schema`` gives their field; text that is no such value and
+    rows of another width are errors.
+    """
+    lines = [next(csv.reader([r.value])) for r in _first_lines(spark, path, levels + 1)]
+    if len(lines) < levels:
+        raise ValueError(f"{path} has fewer than {levels} header rows")
+    header, label = lines[:levels], None
+    if len(lines) > levels and lines[levels] and lines[levels][0] and not any(lines[levels][1:]):
+        header, label = lines, lines[levels][0]
+    first = label or header[0][0]
+    names = [first] + [separator.join(x for x in column if x) for column in list(zip(*header[:levels]))[1:]]
+    if len(set(names)) < len(names) or not all(names):
+        raise ValueError(f"{path}: the header rows name a column twice or not at all")
+    places = [f"_c{i}" for i in range(len(names))]
+    reader = spark.read.schema(", ".join(f"{c} string" for c in places)).option("mode", "FAILFAST").option("header", "false").option("enforceSchema", "true")
+    rows = reader.csv(path)
+    cells = F.array(*[F.coalesce(c, F.lit("")) for c in places])
+    known = [F.array(*[F.lit(x) for x in line]) for line in header]
+    data = rows.filter(~F.coalesce(reduce(or_, [cells == k for k in known]), F.lit(False)))
+    types = {f.name: f.dataType for f in schema or []}
+    cast = [F.col(c).cast(types.get(n.split(separator)[0], StringType())).alias(n) for c, n in zip(places, names)]
+    return data.select(*cast)
+
+
+def _first_lines(spark: SparkSession, path: str, n: int) -> list:
+    """The first lines of one file of a landed dataset."""
+    lines = spark.read.text(path).select("value", F.col("_metadata")["file_path"].alias("file"))
+    if (one := lines.first()) is None:
+        return []
+    return spark.read.text(one["file"]).limit(n).collect()
+
+
 def read_statistics_document(spark: SparkSession, path: str) -> DataFrame:
     """The statistics service's JSON answer: the observations of the first series under ``result``."""
     series = StructType().add("observations", ArrayType(schemas.MONTHLY_STATISTICS))

@@ -438,6 +438,7 @@ def test_latest_stats_reads_value_and_change_from_the_same_row(spark):
         "set_close": (D(2024, 1, 1), 10.0, 1.5, "up"),
         "usdthb": (D(2024, 1, 1), 33.0, -0.5, "down"),
         "policy_rate": (D(2024, 3, 1), 2.5, None, None),
+        "cpi_yoy": (None, None, None, None),
     }
 
 
