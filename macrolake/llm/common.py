@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macrolake.session import shared_dir
+from macrolake.sources.lake import remove
 
 #: Bytes of one Arrow batch that goes to a Python worker; long texts make short batches.
 BATCH_BYTES = 8 << 20
@@ -27,6 +28,24 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Stored frames that are deleted together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, frame: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}-{uuid.uuid4().hex[:8]}"
+        self.paths.append(path)
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+        self.paths = []
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -8,14 +8,19 @@ once all bins are full, so at the latest after twice as many rounds
 (Dahlgaard, Knudsen and Thorup 2017). Groups of ``ROWS`` coordinates are bands.
 
 Documents with equal sets are one node. Nodes that share a band are candidates,
-but no bucket is expanded into pairs: each round compares a leader with the
-members of its bucket that are not yet connected to it, so a bucket of many
-copies is settled by one round of as many pairs as it has members. What is
-still unconnected after that round is filtered exactly: two sets of Jaccard
-similarity s share one of their ``n - ceil(s * n) + 1`` rarest shingles, so only
-nodes with such a shingle in common go on, again against leaders, more of them
-each round, until every pair is compared or connected. Every link is confirmed
-on the full sets.
+but no bucket is expanded into pairs: its smallest node, its leader, is compared
+with the others. What that does not connect is keyed anew by longer bands of a
+larger, independent sketch, which documents well below the threshold rarely
+share; ``LEADERS`` more rounds of one leader for each bucket connect what can be
+connected, then all pairs of a bucket that are in different components are
+compared, if their sizes and their signatures of ``BITS`` bits allow the
+similarity. Every link is confirmed on the full sets.
+
+Links are found with the probability of a shared band: one at 0.85 is missed by
+the long bands with probability 0.004, one at 0.87 with 0.00004. The signatures add
+3e-6. A component is lost only if all its links are. Documents at
+just below the threshold are compared: n of them that are all pairwise near it
+cost a share of n squared over two comparisons, which no banding avoids.
 
 Rows: a null or blank text has an empty set, is linked with nothing and is its
 own group. A null ``doc_id`` is a group of its own with a null component.
@@ -24,20 +29,26 @@ Repeated rows are equal sets. Other columns are not read, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrolake.llm.common import per_batch, stored, text_of
+from macrolake.llm.common import Scratch, per_batch, stored, text_of
 
 WIDTH = 5
 #: 36 bands of 5: a pair of similarity 0.85 is missed with probability 7e-10, one of 0.8 with 6e-7.
 BANDS, ROWS = 36, 5
 COORDINATES = BANDS * ROWS
-#: Share of a bucket's nodes that have led after each round; the last makes it all of them.
-LED = (0.03, 0.12, 0.5, 1.0)
+#: Long bands, and the probability that a pair at the threshold shares a given one, which sets their length: 21 rows for 0.85.
+LONG_BANDS, LONG_SHARE = 165, 0.033
+#: Rounds of one leader for each long bucket.
+LEADERS = 2
+#: Bits of a signature, and standard deviations below the expected agreement at which a pair is left out.
+BITS, DEVIATIONS = 1024, 4.5
 #: Shingles that are sketched at once.
 CHUNK = 400_000
 
@@ -76,6 +87,8 @@ def sketch(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
         x = mix(elements ^ mix(np.full(1, ((i + 1) * _GOLDEN) & _MASK, np.uint64)))
         into = ((x >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32) if i < t else np.uint64(i - t)
         np.minimum.at(bins, owner * t + into.astype(np.int64), (x & np.uint64(0xFFFFFFFF)) | np.uint64(i << 32))
+        if (i + 1) % max(1, t // 256):  # a look at all bins costs more than a round; later rounds change no full bin
+            continue
         open_ = (bins.reshape(-1, t) == empty).any(axis=1)
         if not open_.any():
             break
@@ -164,9 +177,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return per_batch(rows.select("a", "b", "set_a", "set_b"), run, "u long, v long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(rep, component): smallest reachable id for each id of the edges (u, v), by alternating large and small stars."""
-    now = stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rep, component): smallest reachable id for each id of the edges (u, v), by alternating large and small stars; stored in ``scratch``."""
+    spark = edges.sparkSession
+    last = Scratch(spark)
+    now = last.stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
     while True:
         both = now.union(now.select("v", "u")).toDF("u", "v")
@@ -174,9 +189,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").selectExpr("v AS u", "m AS v").union(low.select("u", "m")).filter("u <> v").distinct()
-        now = stored(small)
+        following = Scratch(spark)
+        now = following.stored(small)
+        last.clear()
+        last = following
         sums = now.agg(F.count("*"), F.sum(F.expr("CAST(xxhash64(u, v) AS DECIMAL(38, 0))"))).first()
         if tuple(sums) == state:
+            scratch.paths += last.paths
             return now.select(F.col("u").alias("rep"), F.col("v").alias("component"))
         state = tuple(sums)
 
@@ -186,91 +205,95 @@ def fits(percent: int):
     return F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
 
 
-def unsettled(members: DataFrame, edges: DataFrame | None) -> DataFrame:
+def unsettled(members: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """The members of buckets that hold more than one component, with their components; stored."""
-    current = members.withColumn("component", F.col("rep"))
-    if edges is not None:
-        current = members.join(components(edges), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    current = members.join(components(edges, scratch), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     spread = current.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    return stored(current.join(spread, "key", "left_semi"))
+    return scratch.stored(current.join(spread, "key", "left_semi"))
 
 
-def compared(rest: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The confirmed links of leaders (key, leader, leader_n, leader_component) to the rest of their buckets; stored."""
-    pairs = (
-        rest.join(leaders, "key")
-        .filter("component <> leader_component")
-        .filter(fits(percent))
-        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        .distinct()
-    )
-    return stored(confirmed(pairs, sets, percent))
+def compared(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The confirmed links among pairs (rep, leader); stored."""
+    ordered = pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    return scratch.stored(confirmed(ordered, sets, percent))
 
 
-def first_round(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of each bucket's smallest node to the others."""
-    heads = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
-    leaders = heads.selectExpr("key", "h.rep AS leader", "h.n AS leader_n", "h.rep AS leader_component")
-    return compared(members.withColumn("component", F.col("rep")), leaders, sets, percent)
+def led(current: DataFrame, percent: int, salt: int) -> DataFrame:
+    """The pairs of each bucket's leader, the smallest under a salted hash, with the members of other components."""
+    heads = current.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(salt)).alias("h") if salt else F.lit(0).alias("h"), "rep", "n", "component")).alias("head"))
+    leaders = heads.selectExpr("key", "head.rep AS leader", "head.n AS leader_n", "head.component AS leader_component")
+    return current.join(leaders, "key").filter("component <> leader_component").filter(fits(percent))
 
 
-def later_rounds(members: DataFrame, sets: DataFrame, percent: int, edges: DataFrame) -> DataFrame:
-    """All links between members of a bucket that ``edges`` does not connect, and ``edges``.
+def long_sketches(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, bands, signature): packed keys of the long bands and a signature for each set."""
+    rows = min(32, round(math.log(LONG_SHARE) / math.log(percent / 100))) if percent < 100 else 32
+    coordinates = max(LONG_BANDS * rows, BITS)
 
-    A hash gives every member of a bucket its place between 0 and 1. A round's
-    leaders are the next places; they meet the members that have not led before.
-    """
-    placed = members.withColumn("place", F.expr("pmod(xxhash64(key, rep), 1048576) / 1048576D"))
-    low, current = 0.0, unsettled(placed, edges)
-    for high in LED:
+    def run(batch: pa.RecordBatch):
+        fresh = np.uint64(0x5851F42D4C957F2D)
+        all_ = [np.frombuffer(x, np.uint64) ^ fresh for x in batch.column(1).to_pylist()]
+        keys, signatures, step = [], [], max(1, 2_000_000 // coordinates)
+        for at in range(0, len(all_), step):
+            values = sketch(all_[at : at + step], coordinates)
+            keys += [k.tobytes() for k in band_keys(values[:, : LONG_BANDS * rows], LONG_BANDS, rows)]
+            bits = (mix(values[:, :BITS].copy()) & np.uint64(1)).astype(np.uint8)
+            signatures += [x.tobytes() for x in np.packbits(bits, axis=1)]
+        return [batch.column(0), np.array([len(x) for x in all_]), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())]
+
+    return per_batch(sets.select("rep", "shingles"), run, "rep long, n long, bands binary, signature binary")
+
+
+def alike(percent: int):
+    """Signatures agree often enough for the similarity, but for chance."""
+    agree = (1 + percent / 100) / 2
+    least = BITS * agree - DEVIATIONS * math.sqrt(BITS * agree * (1 - agree))
+    # A signature is compared as so many 64-bit numbers.
+    words = " + ".join(f"bit_count(s{i} ^ t{i})" for i in range(BITS // 64))
+    return F.expr(f"{words} <= {int(BITS - least)}")
+
+
+def later_rounds(nodes: DataFrame, sets: DataFrame, percent: int, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """The links among ``nodes`` (rep) that ``edges`` does not imply, and ``edges``."""
+    sketched = scratch.stored(long_sketches(sets.join(nodes, "rep", "left_semi"), percent))
+    shared = scratch.stored(shared_keys(bucket_rows(sketched)).distinct())
+    for salt in range(1, LEADERS + 1):
+        current = unsettled(shared, edges, scratch)
         if current.isEmpty():
-            break
-        leaders = current.filter(F.col("place").between(low, high)).selectExpr("key", "rep AS leader", "n AS leader_n", "component AS leader_component")
-        found = compared(current.filter(F.col("place") >= low), leaders, sets, percent)
-        low = high
+            return edges
+        found = compared(led(current, percent, salt), sets, percent, scratch)
         if not found.isEmpty():
-            edges = stored(edges.union(found))
-            current = unsettled(placed, edges)
-    return edges
-
-
-def rare_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members keyed anew by those of their rarest shingles that a similar set must share."""
-    nodes = members.select("rep", "n").distinct()
-
-    def run(batch: pa.RecordBatch):
-        all_ = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-        return [np.concatenate(all_), np.repeat(batch.column(0).to_numpy(), [len(x) for x in all_])]
-
-    rows = per_batch(sets.join(nodes, "rep", "left_semi").select("rep", "shingles"), run, "key long, rep long")
-    rows = stored(rows)
-    often = rows.groupBy("key").agg(F.count("*").alias("often"))
-    ranked = (
-        rows.join(often, "key")
-        .groupBy("rep")
-        .agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("by_rarity"))
-        .select("rep", F.expr(f"slice(by_rarity, 1, size(by_rarity) - CAST(ceil({percent} * size(by_rarity) / 100) AS INT) + 1)").alias("front"))
-        .select("rep", F.explode("front").alias("f"))
-        .filter("f.often > 1")
-        .select("rep", F.col("f.key").alias("key"))
-    )
-    return shared_keys(stored(ranked.join(nodes, "rep").select("key", "rep", "n")))
+            edges = scratch.stored(edges.union(found))
+    current = unsettled(shared, edges, scratch)
+    if current.isEmpty():
+        return edges
+    words = [F.expr(f"CAST(conv(hex(substring(signature, {8 * i + 1}, 8)), 16, -10) AS BIGINT)") for i in range(BITS // 64)]
+    signed = sketched.select("rep", *[w.alias(f"s{i}") for i, w in enumerate(words)])
+    numbered = scratch.stored(current.join(signed, "rep").select("key", "rep", "n", "component", *signed.columns[1:]))
+    renamed = [F.col(c).alias(f"leader{x}") for c, x in (("rep", ""), ("n", "_n"), ("component", "_component"))]
+    others = numbered.select("key", *renamed, *[F.col(f"s{i}").alias(f"t{i}") for i in range(BITS // 64)])
+    apart = F.expr("rep < leader AND component <> leader_component")
+    pairs = numbered.join(others, "key").filter(apart).filter(fits(percent)).filter(alike(percent))
+    return scratch.stored(edges.union(compared(pairs, sets, percent, scratch)))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``."""
+    scratch = Scratch(docs.sparkSession)
     all_ = stored(sketches(docs, doc_id, text, bands, rows))
     some = all_.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = stored(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")))
     nodes = some.join(reps.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
     nodes = nodes.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands")
-    members = stored(shared_keys(bucket_rows(nodes)).distinct())
-    sets = stored(full_sets(docs, members.select("rep").distinct(), doc_id, text))
-    edges = first_round(members, sets, percent)
-    left = unsettled(members, edges)
+    members = scratch.stored(shared_keys(bucket_rows(nodes)).distinct())
+    sets = scratch.stored(full_sets(docs, members.select("rep").distinct(), doc_id, text))
+    edges = compared(led(members.withColumn("component", F.col("rep")), percent, 0), sets, percent, scratch)
+    left = unsettled(members, edges, scratch)
     if not left.isEmpty():
-        edges = later_rounds(rare_keys(left, sets, percent), sets, percent, edges)
-    groups = reps.join(components(edges), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
+        edges = later_rounds(left.select("rep").distinct(), sets, percent, edges, scratch)
+    groups = reps.join(components(edges, scratch), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component_id"))
+    groups = stored(groups)
+    scratch.clear()
     return (
         all_.select("doc_id", "n_shingles", "hi", "lo")
         .join(groups.select("hi", "lo", "component_id"), ["hi", "lo"], "left")

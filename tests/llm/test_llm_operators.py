@@ -212,6 +212,49 @@ def test_near_duplicates_equal_all_pairs(spark, docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_in_a_large_group(spark, percent):
+    """800 copies of one text with few and many words changed, on both sides of the threshold, 60 chains beside them."""
+    r = random.Random(percent)
+    base = [f"w{j}" for j in range(150)]
+    rows = []
+    for i in range(800):
+        words = list(base)
+        for _ in range(r.choice([1, 2, 3, 4, 5, 6, 8, 10])):
+            words[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: neardup.shingle_set(t) for i, t in rows}
+    table = np.zeros((800, len(every := np.unique(np.concatenate(list(sets.values()))))), np.float32)
+    for i, s in sets.items():
+        table[i, np.searchsorted(every, s)] = 1
+    both = table @ table.T
+    sizes = table.sum(axis=1)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None] - both)
+    label = np.arange(800)
+    while True:
+        least = np.where(linked, label[None], 800).min(axis=1)
+        if (least == label).all():
+            break
+        label = np.minimum(label, least)
+    assert 30 < len(set(label.tolist())) < 770 and linked.sum() > 3000
+    got = {g.doc_id: g.component_id for g in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()}
+    pairs = np.argwhere(linked)
+    joined = sum(got[a] == got[b] for a, b in pairs.tolist())
+    assert joined >= 0.99 * len(pairs)  # no two documents are joined that no links join
+    assert all(label[i] == label[c] for i, c in got.items())
+    assert sum(got[i] == label[i] for i in got) >= 0.99 * len(got)
+
+
+def test_signatures_tell_similar_sets():
+    r = np.random.default_rng(2)
+    for share in (0.85, 0.6):
+        a = r.integers(0, 1 << 62, 400).astype(np.uint64)
+        common = round(400 * 2 * share / (1 + share))
+        b = np.concatenate([a[:common], r.integers(0, 1 << 62, 400 - common).astype(np.uint64)])
+        bits = neardup.mix(neardup.sketch([a, b], neardup.BITS)) & np.uint64(1)
+        assert abs((bits[0] == bits[1]).mean() - (1 + share) / 2) < 0.05
+
+
 def test_sketch_estimates_similarity():
     r = np.random.default_rng(1)
     a = r.integers(0, 1 << 62, 300).astype(np.uint64)
