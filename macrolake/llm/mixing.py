@@ -1,18 +1,16 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Every source's documents, in a hashed order, form one stream of words that is
-cut into blocks of ``BLOCK`` words; the last block of a source may be shorter.
-The mix has one slot for each ``BLOCK`` words of the corpus. Slot ``n`` has the
+cut into blocks of equal size but for rounding: as few as have at most ``BLOCK``
+words, but ``BLOCKS`` at least, or a block for each word where there are fewer. A source needs as many slots as blocks of its size make its target, to
+the nearest whole number. Slot ``n`` of the mix has the
 point ``frac(n * golden ratio)``, taken in whole numbers modulo 2^31, and goes
-to the source whose stretch of the cumulative targets holds the point. The
+to the source whose stretch of the cumulative needs holds the point. The
 slots of a source are ranked; rank ``r`` takes block ``r`` modulo the number of
-its blocks, so all blocks are read once before any is read again, and ranks
-of a fourth pass are not filled.
-
-A source of fewer than ``FEW`` blocks does not take slots, whose short last
-block would leave it far below its target: it gives its stream of words over and
-over until the target, rounded to a whole word, is reached. The SQL has slots
-for such sources too, so its results differ there.
+its blocks, so all blocks are read once before any is read again. Points come
+near the needs, not always up to them: ranks beyond a source's need are not
+filled, and ranks that it still needs follow at the end. One rule holds for
+sources of any size: one of 20 words gives its 20 blocks three times.
 
 Ranks and word offsets are running sums over a whole source. A source may hold
 a third of all rows, so both are made in two steps: sums of small segments,
@@ -31,10 +29,9 @@ from pyspark.sql import functions as F
 
 from macrolake.llm.common import stored
 
-#: Words of a block. Smaller blocks follow the targets more closely and make more rows.
-BLOCK = 64
-#: Blocks below which a source is dealt by words.
-FEW = 16
+#: Words of a block at most, and blocks of a source at least, if it has as many words. More blocks follow the targets
+#: more closely and make more rows.
+BLOCK, BLOCKS = 64, 64
 #: Passes over a source at most.
 PASSES = 3
 #: Weights of the sources in order, repeating.
@@ -61,8 +58,8 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     return stored(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
-def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """(source, source_size, target, number) for sizes (source, source_size), one row each.
+def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, block: int = BLOCK) -> DataFrame:
+    """(source, source_size, target, number, blocks, need) for sizes (source, source_size), one row each.
 
     A source at its limit gets ``passes`` times its size, the others share the
     rest by weight. In the order of limit over weight the limited sources come
@@ -85,22 +82,27 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
         limited.withColumn("limited_size", F.sum(F.expr("CASE WHEN limited THEN source_size ELSE 0 END")).over(everything))
         .withColumn("free_weight", F.sum(F.expr("CASE WHEN limited THEN 0 ELSE weight END")).over(everything))
     )
-    return rest.select(
+    dealt = rest.select(
         "source",
         "source_size",
         F.expr(f"CASE WHEN limited THEN CAST({passes} * source_size AS DOUBLE) ELSE CAST(weight * (total - {passes} * limited_size) AS DOUBLE) / free_weight END").alias("target"),
         "number",
     )
+    blocks = dealt.withColumn("blocks", F.expr(f"least(source_size, greatest({BLOCKS}L, CAST(ceil(source_size / {block}) AS LONG)))"))
+    return blocks.withColumn("need", F.expr("CASE WHEN source_size > 0 THEN CAST(floor(target * blocks / source_size + 0.5D) AS LONG) ELSE 0L END"))
 
 
 def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
-    """(slot, number, rank): the source of each slot and the slot's rank among those of its source, from 0."""
+    """(slot, number, rank): the source of each slot and the slot's rank among those of its source, from 0.
+
+    As many slots as the sources (number, need) need together; each gets its need.
+    """
     spark = sources.sparkSession
     running = Window.orderBy("number")
     bounds = (
-        sources.withColumn("upto", F.sum("target").over(running))
-        .withColumn("all", F.sum("target").over(Window.partitionBy(F.lit(0))))
-        .withColumn("hi", F.expr(f"CAST(floor(upto / all * {MODULUS}) AS LONG)"))
+        sources.withColumn("upto", F.sum("need").over(running))
+        .withColumn("all", F.sum("need").over(Window.partitionBy(F.lit(0))))
+        .withColumn("hi", F.expr(f"CAST(floor(CAST(upto AS DOUBLE) / all * {MODULUS}) AS LONG)"))
         .withColumn("hi", F.when(F.expr("number = max(number) OVER (PARTITION BY 0)"), F.lit(MODULUS)).otherwise(F.col("hi")))
         .withColumn("lo", F.coalesce(F.lag("hi").over(running), F.lit(0)))
         .filter("lo < hi")
@@ -118,11 +120,15 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
         given.groupBy("number", "segment")
         .agg(F.count("*").alias("n"))
         .withColumn("before", F.expr("sum(n) OVER (PARTITION BY number ORDER BY segment) - n"))
-        .select("number", "segment", "before")
+        .select("number", "segment", "before", "n")
     )
-    return given.join(before, ["number", "segment"]).select(
+    ranked = given.join(before, ["number", "segment"]).select(
         "slot", "number", F.expr("before + row_number() OVER (PARTITION BY number, segment ORDER BY slot) - 1").alias("rank")
     )
+    filled = ranked.join(sources.select("number", "need"), "number").filter("rank < need").select("slot", "number", "rank")
+    got = before.join(sources.select("number", "need"), "number", "right").groupBy("number", "need").agg(F.coalesce(F.max(F.expr("before + n")), F.lit(0)).alias("got"))
+    late = got.filter("got < need").select("number", F.explode(F.expr("sequence(got, need - 1)")).alias("rank"))
+    return filled.union(late.select(F.lit(n_slots).cast("long").alias("slot"), "number", "rank"))
 
 
 def offsets(rows: DataFrame) -> DataFrame:
@@ -143,37 +149,36 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """(doc_id, size, source_size, target, taken), one row for each row of ``docs``."""
     rows = measured(docs, doc_id, text, source)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = stored(targets(sizes, weights, passes))
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
+    sources = stored(targets(sizes, weights, passes, block))
+    needed = sources.filter("need > 0")
+    total = needed.agg(F.sum("need")).first()[0] or 0
     named = rows.join(sources.withColumnRenamed("source", "its_source"), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     visits = (
-        schedule(sources.filter("target > 0"), total // block)
-        .join(sources.filter(f"source_size > {(FEW - 1) * block}").select("number"), "number", "left_semi")
-        .join(sources.select("number", F.expr(f"CAST(ceil(source_size / {block}) AS LONG)").alias("blocks")), "number")
-        .filter(f"rank < {passes} * blocks")
+        schedule(needed.select("number", "need"), total)
+        .join(needed.select("number", "blocks"), "number")
         .groupBy("number", F.expr("rank % blocks").alias("block"))
         .agg(F.count("*").alias("visits"))
     )
-    placed = offsets(named.filter("size > 0").select("row", "doc_id", "number", "size", "source_size", "target", "place"))
-    small = f"source_size <= {(FEW - 1) * block}"
-    whole = placed.filter(small).withColumn("due", F.expr("CAST(round(target) AS LONG)"))
-    dealt = whole.select("row", F.expr("due div source_size * size + greatest(0L, least(size, due % source_size - start))").alias("taken"))
+    placed = offsets(named.filter("size > 0").select("row", "doc_id", "number", "size", "source_size", "blocks", "place"))
+    # Block b of a source holds the words from floor(b * source_size / blocks) on.
     pieces = (
-        placed.filter(f"NOT ({small})").select("row", "number", "start", F.expr("start + size AS stop"), F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
-        .withColumn("words", F.expr(f"least(stop, (block + 1) * {block}) - greatest(start, block * {block})"))
+        placed.select(
+            "row", "number", "start", F.expr("start + size AS stop"), "source_size", "blocks",
+            F.explode(F.expr("sequence((start * blocks + blocks - 1) div source_size, ((start + size) * blocks - 1) div source_size)")).alias("block"),
+        )
+        .withColumn("words", F.expr("least(stop, (block + 1) * source_size div blocks) - greatest(start, block * source_size div blocks)"))
     )
     taken = (
         pieces.select("row", "number", "block", "words")
         .join(visits, ["number", "block"])
         .groupBy("row")
         .agg(F.sum(F.expr("words * visits")).alias("taken"))
-        .union(dealt)
     )
     return named.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def oracle_sql(block: int = BLOCK) -> str:
-    """The same mix in one statement, with plain windows over whole sources."""
+    """The same mix in one statement: a block of a source is visited as often as its ranks below the need fall on it."""
     return f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
@@ -190,25 +195,22 @@ s4 AS (
   SELECT *, sum(CASE WHEN limited THEN source_size ELSE 0 END) OVER () AS limited_size,
          sum(CASE WHEN limited THEN 0 ELSE weight END) OVER () AS free_weight FROM s3),
 s AS (
-  SELECT source, source_size, number, CAST(ceil(source_size / {block}) AS BIGINT) AS blocks, total,
+  SELECT source, source_size, number, least(source_size, greatest({BLOCKS}, CAST(ceil(source_size / {block}) AS BIGINT))) AS blocks, total,
          CASE WHEN limited THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(weight * (total - 3 * limited_size) AS DOUBLE) / free_weight END AS target FROM s4),
-b0 AS (
-  SELECT *, CASE WHEN number = max(number) OVER () THEN {MODULUS}
-            ELSE CAST(floor(sum(target) OVER (ORDER BY number) / sum(target) OVER () * {MODULUS}) AS BIGINT) END AS hi FROM s WHERE target > 0),
-b AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY number), 0) AS lo FROM b0),
-slots AS (
-  SELECT n AS slot, n % {MODULUS} * {STEP} % {MODULUS} AS point
-  FROM (SELECT unnest(range(CAST((SELECT max(total) FROM s) AS BIGINT) // {block})) AS n)),
-ranked AS (SELECT number, blocks, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS r FROM slots JOIN b ON point >= lo AND point < hi),
-visits AS (SELECT number, r % blocks AS block, count(*) AS visits FROM ranked WHERE r < 3 * blocks GROUP BY ALL),
+needs AS (SELECT number, blocks, CAST(floor(target * blocks / source_size + 0.5) AS BIGINT) AS need FROM s WHERE source_size > 0),
+visits AS (
+  SELECT number, block, need // blocks + CASE WHEN block < need % blocks THEN 1 ELSE 0 END AS visits
+  FROM (SELECT *, unnest(range(blocks)) AS block FROM needs)),
 placed AS (
-  SELECT doc_id, s.number, size, sum(size) OVER (PARTITION BY s.number ORDER BY place, doc_id, size) - size AS start
+  SELECT doc_id, s.number, size, source_size, blocks, CAST(sum(size) OVER (PARTITION BY s.number ORDER BY place, doc_id, size) - size AS BIGINT) AS start
   FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source WHERE size > 0),
+edges AS (
+  SELECT number, block, visits, block * source_size // s.blocks AS lo, (block + 1) * source_size // s.blocks AS hi FROM visits JOIN s USING (number)),
 pieces AS (
   SELECT doc_id, number, start, start + size AS stop,
-         unnest(range(CAST(start // {block} AS BIGINT), CAST((start + size - 1) // {block} AS BIGINT) + 1)) AS block FROM placed),
+         unnest(range((start * blocks + blocks - 1) // source_size, ((start + size) * blocks - 1) // source_size + 1)) AS block FROM placed),
 taken AS (
-  SELECT doc_id, sum((least(stop, (block + 1) * {block}) - greatest(start, block * {block})) * visits) AS taken
-  FROM pieces JOIN visits USING (number, block) GROUP BY doc_id)
+  SELECT doc_id, sum((least(stop, hi) - greatest(start, lo)) * visits) AS taken
+  FROM pieces JOIN edges USING (number, block) GROUP BY doc_id)
 SELECT d.doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN taken ON d.doc_id = taken.doc_id"""

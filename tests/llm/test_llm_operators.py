@@ -293,10 +293,20 @@ def test_mix_follows_its_targets(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
-def test_small_sources_meet_their_targets(spark):
+def test_small_sources_meet_their_targets(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
     rows = [(i, "w " * n, s) for i, (n, s) in enumerate([(1, "a"), (20, "b"), (40, "c"), (25, "c"), (3000, "d"), (4000, "e"), (5000, "f")])]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    pq.write_table(pa.table(dict(zip(("doc_id", "text", "source"), map(list, zip(*rows))))), tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    by_sql = con.execute(mixing.oracle_sql()).fetchall()
+    assert sorted(map(tuple, got.select("doc_id", "size", "source_size", "target", "taken").collect())) == sorted(by_sql)
     sums = {r.source_size: (r.taken, r.target) for r in got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()}
+    assert all(abs(taken - target) <= max(0.5, size / 128, mixing.BLOCK / 2) for size, (taken, target) in sums.items())
     assert {n: sums[n] for n in (1, 20, 65)} == {1: (3, 3.0), 20: (60, 60.0), 65: (195, 195.0)}
     tiny = mixing.mix(spark.createDataFrame([(1, "w " * 30, "a"), (2, "w " * 10, "b")], "doc_id long, text string, source string")).collect()
     assert all(r.taken == round(r.target) for r in tiny)
