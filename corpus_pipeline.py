@@ -2,9 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
 returns a DataFrame; all but the last return the columns of ``documents``.
-Null or empty texts pass the filters, rows that share a ``doc_id`` count as one
-document after the second stage, and rows without one leave at the mix, which
-cannot name them. Empty tables give empty results.
+Every row is a document, whatever its ``doc_id``: stages that must tell rows
+apart number the stored rows themselves, so rows that share an id, or have none,
+are neither lost nor multiplied. Null or empty texts pass the filters; the mix
+takes them never, as they have no words. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,11 +28,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own as ``_row``, stored, so that all that follows sees the same numbers."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; documents without words all stay."""
-    ids = neardup.near_duplicates(docs, percent=NEAR).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    """One document of each group of near duplicates; documents without words all stay.
+
+    The one with the smallest id stays, without ids or among equal ids the one
+    with the smallest text.
+    """
+    rows = numbered(docs)
+    groups = neardup.near_duplicates(rows, doc_id="_row", percent=NEAR).filter("n_shingles > 0").selectExpr("doc_id AS _row", "component_id AS _group")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "_row")
+    first = rows.select("_row", order.alias("_order")).join(groups, "_row").groupBy("_group").agg(F.min("_order")["_row"].alias("_kept"))
+    others = groups.join(first, "_group").filter("_row <> _kept").select("_row")
+    return rows.join(others, "_row", "left_anti").select(docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +56,17 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number; those it does not take go."""
-    taken = mixing.mix(docs).filter("taken > 0").withColumn("copies", F.expr("CAST(round(taken / size) AS INT)"))
-    times = taken.filter("copies > 0").select("doc_id", "copies")
-    return docs.join(times, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    """Each document as often as the mix takes it, in whole copies; those it does not take go.
+
+    What is taken of a document beyond whole copies is one more copy for as
+    many of such documents as it is a part of one, chosen by a hash of the row, so
+    that the words of a source stay near its target.
+    """
+    rows = numbered(docs)
+    taken = mixing.mix(rows, doc_id="_row").filter("taken > 0").selectExpr("doc_id AS _row", "taken", "size")
+    due = rows.join(taken, "_row").withColumn("_chance", F.pmod(F.xxhash64(*docs.columns, "_row"), F.lit(1 << 20)) / (1 << 20))
+    copies = due.withColumn("_copies", F.expr("CAST(floor(taken / size + _chance) AS INT)")).filter("_copies > 0")
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
