@@ -168,11 +168,13 @@ def preview_with_total(result: DataFrame, order: list[str], n: int = 12) -> Data
     """The first ``n`` rows in a given order, each with the total row count.
 
     One pass: the rows are counted as they flow into the top-k, whose ``n``
-    rows are all that leaves the cluster.
+    rows are all that leaves the cluster. The order is given as one struct,
+    because a result known to be sorted by its columns would be cut before it is
+    counted.
     """
     seen = Observation()
     counted = result.observe(seen, F.count(F.lit(1)).alias("n"))
-    rows = counted.orderBy(*order).limit(n).collect()
+    rows = counted.orderBy(F.struct(*order)).limit(n).collect()
     first = result.sparkSession.createDataFrame(rows, result.schema)
     return first.orderBy(*order).withColumn("total_rows", F.lit(seen.get["n"]).cast("bigint"))
 
