@@ -2,8 +2,9 @@
 
 A rule rejects a row. On a bounded sample every rule is timed and its rejections
 are counted; rules run in the order of rejections per second, as branches of
-one ``CASE``, so a rule is evaluated only for rows that all rules before it
-let pass. The order changes the cost, not the verdict.
+one ``CASE`` that hold the measures which only they need, so a rule is evaluated,
+and its measures are taken, only for rows that all rules before it let pass.
+The order changes the cost, not the verdict.
 
 Rows: a null or empty text has no words and fails. Repeated rows are judged
 each. Other columns are not read. An empty table gives no rows.
@@ -11,14 +12,19 @@ each. Other columns are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+import re
 import time
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of the sample, about; only the order of the rules depends on it.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1000
+#: Seconds below which rules count as equally cheap.
+LEAST_SECONDS = 0.01
 #: Fixed: the symbols that are counted, and the characters between words.
 SYMBOLS, SPACES = "#*$%&|<>", "\\t\\n\\u000B\\u000C\\r"
 
@@ -31,7 +37,7 @@ class Rule:
     rejects: str
 
 
-#: The default rules, over the columns of measures(). The first two are the base of the contract.
+#: The default rules, over MEASURES. The first two are the base of the contract.
 RULES = (
     Rule("too_few_words", "n_words < 10"),
     Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
@@ -72,53 +78,99 @@ N_REPEAT_WORDS = (
 )
 
 
-def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the text as ``body`` and its words."""
-    flat = f"trim(translate(coalesce({text}, ''), '{SPACES}', '     '))"
-    return docs.withColumn("body", F.coalesce(text, F.lit(""))).withColumn(
-        "words", F.expr(f"CASE WHEN {flat} = '' THEN array() ELSE split({flat}, ' +') END")
-    )
+MEASURES["n_repeat_words"] = N_REPEAT_WORDS
+#: The measures that judge() reports, so that it takes them of every row.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and all measures."""
-    rows = with_words(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
-    return rows.select("doc_id", *(F.expr(e).alias(n) for n, e in MEASURES.items()), F.expr(N_REPEAT_WORDS).alias("n_repeat_words"))
+def words_of(body: str) -> str:
+    """The words of a text, in SQL."""
+    flat = f"trim(translate({body}, '{SPACES}', '     '))"
+    return f"CASE WHEN {flat} = '' THEN array() ELSE split({flat}, ' +') END"
 
 
-def cheapest_first(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second on a sample of about ``rows`` rows."""
+def with_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, body, words)."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    return rows.withColumn("words", F.expr(words_of("body")))
+
+
+def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", names: tuple[str, ...] = tuple(MEASURES)) -> DataFrame:
+    """doc_id, the text, its words and the named measures."""
+    return with_words(docs, doc_id, text).select("*", *(F.expr(MEASURES[n]).alias(n) for n in names))
+
+
+def condition(rule: Rule, known: Collection[str] = ()) -> str:
+    """The rule's condition in SQL over ``body`` and ``words``; measures that are not known as columns are taken in it, once each."""
+    own = [n for n in MEASURES if n not in known and re.search(rf"\b{n}\b", rule.rejects)]
+    if not own:
+        return rule.rejects
+    bound = re.sub(rf"\b({'|'.join(own)})\b", r"m.\1", rule.rejects)
+    return f"exists(array(struct({', '.join(f'{MEASURES[n]} AS {n}' for n in own)})), m -> {bound})"
+
+
+def verdict(rules: Collection[Rule], known: Collection[str] = ()) -> str:
+    """The name of the first rule that rejects, or null, in SQL: a rule is evaluated in its own branch, so only if all before it pass."""
+    if not rules:
+        return "CAST(NULL AS STRING)"
+    branches = " ".join(f"WHEN {condition(r, known)} THEN '{r.name}'" for r in rules)
+    return f"CASE {branches} END"
+
+
+def cascade(rows: DataFrame, rules: Collection[Rule]) -> DataFrame:
+    """The rows with the first rule that rejects each, null if none does; they hold ``body`` and ``words``, or all measures that the rules name."""
+    return rows.withColumn("rejected_by", F.expr(verdict(rules, rows.columns)))
+
+
+def cheapest_first(docs: DataFrame, rules: Collection[Rule] = RULES, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """The rules by rejections per second on a sample of about ``rows`` rows.
+
+    A rule's seconds are the shorter of two runs over the sample, without those of
+    an empty rule; powers of two of ``LEAST_SECONDS``, so that noise seldom counts.
+    """
     n = docs.count()
     if not n:
         return list(rules)
-    sample = docs.select(doc_id, text).sample(min(1.0, rows / n), seed=7).persist()
+    sample = with_words(docs, doc_id, text).sample(min(1.0, rows / n), seed=7).persist()
+
+    def run(rule: Rule) -> tuple[float, int]:
+        began = time.perf_counter()
+        rejected = sample.agg(F.count_if(F.expr(condition(rule)))).first()[0]
+        return time.perf_counter() - began, rejected
+
     try:
-        seen = sample.count()
+        empty = Rule("empty", "n_words < 0")
+        run(empty)  # fills the cache
+        base = min(run(empty), run(empty))[0]
         scores = []
         for rule in rules:
-            began = time.perf_counter()
-            rejected = measures(sample, doc_id, text).agg(F.sum(F.expr(f"CAST({rule.rejects} AS LONG)"))).first()[0] or 0
-            scores.append((rejected / max(seen, 1)) / (time.perf_counter() - began))
+            seconds, rejected = min(run(rule), run(rule))
+            steps = math.log2(max(seconds - base, LEAST_SECONDS) / LEAST_SECONDS)
+            scores.append(rejected / 2.0 ** round(steps))
     finally:
         sample.unpersist()
-    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (-scores[i], i))]
+    return [r for _, _, r in sorted(((-score, i, r) for (i, r), score in zip(enumerate(rules), scores)), key=lambda x: x[:2])]
+
 
+def passing(docs: DataFrame, rules: Collection[Rule] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that no rule rejects, with all their columns; no measure is taken but in the branch of its rule."""
+    ordered = cheapest_first(docs, rules, doc_id, text)
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    # The words are bound to a variable: as a column, the optimizer could repeat their split in each branch.
+    kept = rows.filter(f"element_at(transform(array({words_of('body')}), words -> {verdict(ordered)}), 1) IS NULL")
+    return kept.select("row.*")
 
-def cascade(measured: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The rows with the first rule that rejects each, null if none does."""
-    branches = " ".join(f"WHEN {r.rejects} THEN '{r.name}'" for r in rules)
-    return measured.withColumn("rejected_by", F.expr(f"CASE {branches} END"))
 
+def judge(docs: DataFrame, rules: Collection[Rule] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, the reported measures, base_failed and kept.
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, the measures, base_failed and kept."""
+    The reported measures are due for every row and serve the rules as well; the
+    other measures are taken in the branches of their rules only.
+    """
     by_name = {r.name: r for r in rules}
     base = " OR ".join(f"({by_name[n].rejects})" for n in BASE)
-    judged = cascade(measures(docs, doc_id, text), cheapest_first(docs, rules, doc_id, text))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.expr(base).alias("base_failed"), F.col("rejected_by").isNull().alias("kept"),
-    )
+    judged = cascade(measures(docs, doc_id, text, REPORTED), cheapest_first(docs, rules, doc_id, text))
+    return judged.select("doc_id", *REPORTED, F.expr(base).alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
 ORACLE_SQL = r"""

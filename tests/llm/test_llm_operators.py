@@ -101,6 +101,26 @@ def test_quality_order_does_not_change_the_verdict(docs):
     assert one == two
 
 
+def test_a_rejected_row_does_not_evaluate_later_rules(spark, docs, empty):
+    few, trap = quality.Rule("few", "n_words < 10"), quality.Rule("trap", "n_letters < 0 OR raise_error(concat('seen ', doc_id)) IS NULL")
+    rows = quality.with_words(docs.filter("doc_id IN (1, 2, 6, 7)"))
+    assert {r.rejected_by for r in quality.cascade(rows, [few, trap]).collect()} == {"few"}
+    with pytest.raises(Exception, match="seen"):
+        quality.cascade(rows, [trap, few]).collect()
+    # Measures that only a rule needs stand in its branch, not in a projection over all rows.
+    plan = quality.judge(docs)._jdf.queryExecution().optimizedPlan().toString()
+    below = [line for line in plan.splitlines() if "Project" in line][1:]
+    assert plan.count("[^A-Z]+") == 1 and not any("[^A-Z]+" in line or "n_lines" in line for line in below)
+
+
+def test_rules_pass_whole_rows(docs, empty):
+    clashing = docs.withColumn("words", F.lit("w")).withColumn("body", F.lit("b")).withColumn("n_words", F.lit(0))
+    kept = {(r.doc_id, r.n_words) for r in quality.judge(docs).filter("kept").collect()}
+    got = quality.passing(clashing)
+    assert got.columns == clashing.columns and {(r.doc_id, len(r.text.split())) for r in got.collect()} == kept
+    assert got.count() == quality.judge(clashing).filter("kept").count() and quality.passing(empty).count() == 0
+
+
 def test_base_spans_equal_the_patterns():
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
     r = random.Random(3)
