@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of the sample, about; only the order of the rules depends on it.
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS = 500
 #: Seconds below which rules count as equally cheap.
 LEAST_SECONDS = 0.01
+#: Seconds from which a rule is timed only once.
+PLAIN_SECONDS = 0.5
 #: Fixed: the symbols that are counted, and the characters between words.
 SYMBOLS, SPACES = "#*$%&|<>", "\\t\\n\\u000B\\u000C\\r"
 
@@ -125,8 +127,9 @@ def cascade(rows: DataFrame, rules: Collection[Rule]) -> DataFrame:
 def cheapest_first(docs: DataFrame, rules: Collection[Rule] = RULES, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules by rejections per second on a sample of about ``rows`` rows.
 
-    A rule's seconds are the shorter of two runs over the sample, without those of
-    an empty rule; powers of two of ``LEAST_SECONDS``, so that noise seldom counts.
+    A rule's seconds are those of a run over the sample, or the shorter of two if
+    it is quick, without those of an empty rule; they are rounded to ``LEAST_SECONDS``
+    times a power of two, so that noise seldom counts.
     """
     n = docs.count()
     if not n:
@@ -144,7 +147,9 @@ def cheapest_first(docs: DataFrame, rules: Collection[Rule] = RULES, doc_id: str
         base = min(run(empty), run(empty))[0]
         scores = []
         for rule in rules:
-            seconds, rejected = min(run(rule), run(rule))
+            seconds, rejected = run(rule)
+            if seconds < PLAIN_SECONDS:
+                seconds = min(seconds, run(rule)[0])
             steps = math.log2(max(seconds - base, LEAST_SECONDS) / LEAST_SECONDS)
             scores.append(rejected / 2.0 ** round(steps))
     finally:
