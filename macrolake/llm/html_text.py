@@ -6,9 +6,11 @@ before. The text-to-tag ratios of the lines, smoothed by a Gaussian, are
 clustered by a threshold: lines above it are content, and the regions with
 content are selected. Regions are the page's articles, else its main element,
 else the innermost element that holds all of the content, with what stands
-between it and a heading before it. All text of the
-selected regions is kept, short lines too, but for elements that are
-never part of an article (by name, or by a word of their class, id or role).
+between it and a heading before it. In such an element lines below the threshold
+that consist of links go where they are menus: several links in a line, or several
+such lines one after another. All other text of the selected regions is kept,
+short lines too, but for elements that are never part of an article (by name, or
+by a word of their class, id or role). The header of an article belongs to it.
 
 Rows: null or empty HTML gives an empty text. Tags may be unclosed, crossed or
 cut off. Repeated rows stay, pages of any length are read whole, other columns
@@ -18,6 +20,7 @@ are not read, an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -36,10 +39,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 #: Fixed: elements whose text is never part of an article.
 NEVER = frozenset(
-    "aside button canvas datalist dialog footer form frame frameset head header iframe math menu nav noembed noframes noscript "
+    "aside button canvas datalist dialog footer form frame frameset head header iframe menu nav noembed noframes noscript "
     "object option script select style svg template textarea title audio video".split()
 )
-#: Fixed: words of class, id and role that mark such elements.
+#: Fixed: words of class, id and role that mark such elements; WEAK ones do not inside an article, nor beside a word of OWN.
 MARKS = frozenset(
     "ad ads adbox adsense advert advertisement advertising banner breadcrumb breadcrumbs byline-share captcha comment comments "
     "complementary consent contentinfo cookie cookies disqus footer header hidden login masthead menu menubar modal nav navbar "
@@ -47,6 +50,8 @@ MARKS = frozenset(
     "search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar tooltip warning widget "
     "widgets alert gdpr overlay".split()
 )
+WEAK = frozenset("alert header hidden masthead related search share warning".split())
+OWN = frozenset("article content entry headline post story title".split())
 #: Fixed: elements that end a line.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -70,15 +75,17 @@ CLOSES = {
 KEPT = (BLOCKS | NEVER | {"td", "th", "span"}) - VOID - {"p"}
 
 
-def marked(attributes: list[tuple[str, str | None]]) -> bool:
+def marked(attributes: list[tuple[str, str | None]], in_article: bool = False) -> bool:
     """Class, id, role or a hidden attribute says that this is no article text."""
     for name, value in attributes:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name in ("class", "id", "role") and value:
-            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-            if not MARKS.isdisjoint(words):
-                return True
+            for token in value.split():
+                words = frozenset(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+                found = MARKS & words
+                if found and not (found <= WEAK and (in_article or OWN & words)):
+                    return True
     return False
 
 
@@ -87,32 +94,38 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, element, never article text
+        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # name, element, never article text, in an article
+        self.open: Counter[str] = Counter()  # names on the stack
         self.parents, self.names = [0], [""]
         self.texts: list[str] = []
         self.owners: list[int] = []
         self.tags: list[int] = []
         self.pieces: list[str] = []
+        self.links: list[int] = []  # of lines that consist of links their number, else 0
         self.met = 0
+        self.anchor = self.anchors = 0  # inside a link, links of the open line
+        self.plain = False  # the open line has text outside links
+        self.cell = (0, 0)  # links and line breaks of the open line when the open table cell began
+        self.breaks = 0
         self.paragraph = 0  # open elements when the open paragraph began, 0 without one
 
     def close_from(self, i: int) -> None:
         """End the open elements from number ``i`` on."""
+        self.open.subtract(entry[0] for entry in self.stack[i:])
         del self.stack[i:]
         if self.paragraph > i:
             self.paragraph = 0
 
     def close_paragraph(self) -> None:
         """End the open paragraph with what was opened inline in it."""
-        if self.paragraph and all(name == "span" for name, _, _ in self.stack[self.paragraph :]):
+        if self.paragraph and all(entry[0] == "span" for entry in self.stack[self.paragraph :]):
             self.close_from(self.paragraph)
             self.paragraph = 0
 
     def close_before(self, tag: str) -> None:
         """End what a start tag ends without an end tag."""
-        names = [name for name, _, _ in self.stack] if tag == "body" or tag in CLOSES else ()
-        if tag == "body" and "head" in names and "template" not in names:
-            self.close_from(names.index("head"))
+        if tag == "body" and self.open["head"] and not self.open["template"]:
+            self.close_from(next(i for i, entry in enumerate(self.stack) if entry[0] == "head"))
         elif tag not in IN_HEAD and self.in_head():
             self.close_from(len(self.stack) - (1 if self.stack[-1][0] == "head" else 2))
         if tag in BLOCKS:
@@ -120,12 +133,13 @@ class Lines(HTMLParser):
         if tag in CLOSES:
             closed, bounds = CLOSES[tag]
             lowest = 0
-            for i in range(len(names) - 1, 0, -1):
-                if names[i] in closed:
+            for i in range(len(self.stack) - 1, 0, -1):
+                name = self.stack[i][0]
+                if name in closed:
                     lowest = i
                     if bounds is None:
                         break
-                elif names[i] in bounds if bounds is not None else names[i] not in _INLINE:
+                elif name in bounds if bounds is not None else name not in _INLINE:
                     break
             if lowest:
                 self.close_from(lowest)
@@ -141,25 +155,42 @@ class Lines(HTMLParser):
                 self.texts.append(text)
                 self.owners.append(self.stack[-1][1])
                 self.tags.append(self.met)
+                self.links.append(0 if self.plain else self.anchors)
                 self.met = 0
             self.pieces = []
+        self.anchors, self.plain, self.breaks, self.cell = int(self.anchor > 0), False, 0, (0, 0)
+
+    def end_cell(self) -> None:
+        """A cell that lists links, one to a line, is a line of its own; other cells of a row share one."""
+        if not self.plain and not self.stack[-1][3] and self.anchors > self.cell[0] + 1 and self.breaks > self.cell[1]:
+            self.end_line()
+        self.pieces.append(" ")
+        self.cell = (self.anchors, self.breaks)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.met += 1
         if tag in BLOCKS:
             self.end_line()
-        elif tag in ("br", "td", "th", "img"):
+        elif tag in ("td", "th"):
+            self.end_cell()
+        elif tag in ("br", "img"):
             self.pieces.append(" ")
+            self.breaks += tag == "br"
+        elif tag == "a" and not self.stack[-1][2]:
+            self.anchor, self.anchors = 1, self.anchors + 1
         self.close_before(tag)
         if tag == "p":
             self.paragraph = len(self.stack)
         if tag in KEPT:
-            never = self.stack[-1][2] or tag in NEVER or (bool(attrs) and tag not in ("html", "body") and marked(attrs))
+            within = self.stack[-1][3] or tag in ("article", "main")
+            never = self.stack[-1][2] or (tag in NEVER and not (tag == "header" and self.stack[-1][3]))
+            never = never or (bool(attrs) and tag not in ("html", "body") and marked(attrs, within))
             if never and not self.stack[-1][2]:
                 self.end_line() if tag in BLOCKS or tag in NEVER else None
             self.parents.append(self.stack[-1][1])
             self.names.append(tag)
-            self.stack.append((tag, len(self.names) - 1, never))
+            self.stack.append((tag, len(self.names) - 1, never, within))
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -172,10 +203,12 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         elif tag in ("td", "th"):
-            self.pieces.append(" ")
+            self.end_cell()
+        elif tag == "a":
+            self.anchor = 0
         if tag == "p":
             self.close_paragraph()
-        if tag in KEPT:
+        if tag in KEPT and self.open[tag]:
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i][0] == tag:
                     if self.stack[-1][2] and not self.stack[i - 1][2]:
@@ -188,6 +221,7 @@ class Lines(HTMLParser):
             self.close_from(len(self.stack) - 1)
         if not self.stack[-1][2]:
             self.pieces.append(data)
+            self.plain = self.plain or (not self.anchor and any(map(str.isalnum, data)))
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -223,16 +257,19 @@ def regions(lines: Lines) -> list[bool]:
     at = max(np.flatnonzero(held == held[0]).tolist())  # the elements with all content lie in each other
     within = inside(lines, {at})
     kept = [within[owner] for owner in lines.owners]
-    beside: dict[int, list[int]] = {}
-    for i, name in enumerate(lines.names):
-        if name in HEADINGS:
-            beside.setdefault(lines.parents[i], []).append(i)
+    path = {}  # the elements around the region, each with the one in it that leads there
     while at:
-        if heads := [i for i in beside.get(lines.parents[at], ()) if i < at]:
-            within = inside(lines, set(heads))
-            first = next((n for n, owner in enumerate(lines.owners) if within[owner]), len(kept))
-            kept[first : kept.index(True)] = [True] * (kept.index(True) - first)
+        path[lines.parents[at]] = at
         at = lines.parents[at]
+    heads = {i for i, name in enumerate(lines.names) if name in HEADINGS and i < path.get(lines.parents[i], 0)}
+    before = inside(lines, heads)
+    first = next((n for n, owner in enumerate(lines.owners) if before[owner]), len(kept))
+    first, start = min(first, kept.index(True)), kept.index(True)
+    kept[first:start] = [True] * (start - first)
+    listed = [n > 0 and not high for n, high in zip(lines.links, content)]
+    for n, links in enumerate(lines.links):
+        if listed[n] and (links > 1 or any(listed[max(0, n - 1) : n]) or any(listed[n + 1 : n + 2])):
+            kept[n] = False
     return kept
 
 

@@ -1,8 +1,10 @@
 """The operators against plain versions on small tables with nulls, empty and long texts, ties, repeats and odd columns."""
 
 import hashlib
+import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -377,6 +379,55 @@ def test_article_in_several_elements():
     assert html_text.main_text(table) == "\n\n".join([*said, "End."])
 
 
+LONG = "<p>" + "A sentence of the main text, long enough to be content. " * 4
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><tr><td><a href=a>Home</a><br><a href=b>News</a></td><td>Said" + LONG * 2 + "</td></tr></table>", "Said"),
+        ("<div><div><a href=a>Home</a> | <a href=b>News</a></div>" + LONG * 3 + "</div>", LONG[3:].strip()),
+        ("<div><div><a href=a>Home</a> <a href=b>News</a></div><h2>Title</h2>" + LONG * 3 + "<p><a href=c>One link.</a>" + LONG + "</div>", "Title"),
+        ("<article><p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", "As x=1 holds"),
+        ('<article><div class="article-header"><h1>Title</h1></div><div class="warning"><p>Hot</div></article>', "Title\n\nHot"),
+        ("<header>Site</header><article><header><h1>Title</h1></header><footer>Share</footer><p>b</article>", "Title\n\nb"),
+        ('<div class="entry-header"><h1>Title</h1></div><div class="header">Site</div><div class="post-comments">No</div>', "Title"),
+    ],
+)
+def test_layouts(page, text):
+    assert html_text.main_text(page).split("\n\nA sentence")[0] == text
+
+
+def test_links_in_the_text_stay():
+    page = "<div>" + LONG * 2 + "<p><a href=c>One link.</a>" + LONG * 2 + "<p>See <a href=d>this</a> and <a href=e>that</a></div>"
+    got = html_text.main_text(page).split("\n\n")
+    assert got[2] == "One link." and got[-1] == "See this and that"
+
+
+@pytest.mark.parametrize("part", ["<div><h2>x</h2>", "<ul><li>x", "<div></span>", "<table><tr><td>", "<p><span>x"])
+def test_time_is_linear_in_nesting(part):
+    def seconds(n):
+        began = time.process_time()
+        html_text.main_text(part * n + LONG)
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(16_000) < 32 * max(seconds(2000), 0.01)
+
+
+def test_articles_equal_those_cut_out_by_patterns(spark):
+    """The test pages have one article each, without other elements that end a line than these."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit("clash"))
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(pages).collect()}
+    for page in pages.collect():
+        article = re.sub(r"<!--.*?-->|<(script|style|aside|form)\b.*?</\1>", "", page.html.split("<article>")[1].split("</article>")[0], flags=re.S)
+        article = re.sub(r'<div class="(ad|comments?|cookie[^"]*)".*?</div>', "</p>", article, flags=re.S)
+        blocks = re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|table|tr|section|blockquote|pre)\b[^>]*>", article)
+        said = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\b[^>]*>", " ", b))).split()) for b in blocks]
+        want = "\n\n".join(b for b in said if b)
+        assert got[page.page_id] == (want, len(want)), page.page_id
+
+
 def test_pages_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>ab"), (2, "u", "<p>ab")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_text.extract(pages).collect())[1:] == [(2, "u", "ab", 2)] * 2
