@@ -508,3 +508,36 @@ def test_chat_round_trip(spark):
         assert (got[conv].n_turns, got[conv].turns_sha256) == (len(turns), hashlib.sha256(said.encode()).hexdigest())
         assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert chat.read_back(chat.format_conversations(frame.limit(0))).count() == 0
+
+
+def test_a_hot_conversation_is_laid_out_by_several_tasks(spark, monkeypatch):
+    r = random.Random(11)
+    rows = [(None if i % 3 else i % 7, r.randrange(40), r.choice(["user", "assistant"]), r.choice(["<|im_end|>", "word ", "é"]) * r.randint(0, 60)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        parts = chat.format_conversations(frame)
+        tasks = {(p.conv_id, p.part >> chat.PART_BITS) for p in parts.collect()}
+        assert len([t for c, t in tasks if c is None]) > 1
+        got = {x.conv_id: x for x in chat.read_back(parts).collect()}
+        batches = parts.toArrow().to_batches(max_chunksize=3)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for conv in {c for c, *_ in rows}:
+        turns = sorted((t, role, x) for c, t, role, x in rows if c == conv)
+        said = "".join(f"{role}\n{x}\n" for _, role, x in turns)
+        loss = "".join(x for _, role, x in turns if role == "assistant")
+        want[conv] = (len(turns), *(f(x) for x in (said, loss) for f in (lambda x: hashlib.sha256(x.encode()).hexdigest(), len)))
+        assert (got[conv].n_turns, got[conv].turns_sha256, got[conv].loss_sha256, got[conv].loss_chars) == (want[conv][0], want[conv][1], want[conv][3], want[conv][4])
+    assert len(got) == len(want)
+    # Conversations longer than a task holds go on as parts; those before and after them are told apart.
+    for limit in (1, 2000, 1 << 30):
+        monkeypatch.setattr(chat, "BATCH_BYTES", limit)
+        rows_in = [x for b in chat.read_inside(iter(batches)) for x in b.to_pylist()]
+        assert any(x["formatted"] is None for x in rows_in) == (limit > 1)
+        rows_in.sort(key=lambda x: (x["conv_id"] is not None, x["conv_id"] or 0, x["part"] is not None, x["part"] or 0))
+        again = [x for b in chat.read_ordered(iter([chat.pa.RecordBatch.from_pylist(rows_in, chat._BOTH)])) for x in b.to_pylist()]
+        assert {x["conv_id"]: (x["turns_sha256"], x["formatted_chars"]) for x in again} == {c: (x.turns_sha256, x.formatted_chars) for c, x in got.items()}
