@@ -534,7 +534,7 @@ def test_a_hot_conversation_is_laid_out_by_several_tasks(spark, monkeypatch):
         assert (got[conv].n_turns, got[conv].turns_sha256, got[conv].loss_sha256, got[conv].loss_chars) == (want[conv][0], want[conv][1], want[conv][3], want[conv][4])
     assert len(got) == len(want)
     # Conversations longer than a task holds go on as parts; those before and after them are told apart.
-    for limit in (1, 2000, 1 << 30):
+    for limit in (1, 20_000, 1 << 30):
         monkeypatch.setattr(chat, "BATCH_BYTES", limit)
         rows_in = [x for b in chat.read_inside(iter(batches)) for x in b.to_pylist()]
         assert any(x["formatted"] is None for x in rows_in) == (limit > 1)
