@@ -30,6 +30,8 @@ MODEL = "holt-winters"
 GRID = (0.0, 0.1, 0.3, 0.6, 0.9, 1.0)
 #: Steps of the descent from a grid point at most.
 STEPS = 60
+#: Series of a batch that are fitted together, and rows that a step of the grid or of the derivatives takes at once.
+SERIES_AT_ONCE, GRID_ROWS, SLOPE_ROWS = 512, 32, 256
 #: Half-width of the band in residual standard deviations.
 BAND_WIDTH = 1.96
 
@@ -135,6 +137,7 @@ def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
 
     All helpers are nested, so that executors need not have this package.
     """
+    at_once, grid_rows, slope_rows = SERIES_AT_ONCE, GRID_ROWS, SLOPE_ROWS
     alpha, beta, gamma = np.array(list(itertools.product(sorted(grid), repeat=3))).T
 
     def starting_states(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -158,9 +161,8 @@ def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
         slope = sum((i - middle) * c for i, c in enumerate(line)) / sum((i - middle) ** 2 for i in range(season))
         return sum(line) / season - (half + middle + 1) * slope, slope, seasonals
 
-    def smooth(y: np.ndarray) -> pd.DataFrame:
-        """Fit series of equal length, one per row of ``y``; state arrays are series x grid."""
-        level0, trend0, season0 = starting_states(y)
+    def search(y: np.ndarray, level0: np.ndarray, trend0: np.ndarray, season0: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
+        """The best grid point of each series, and the squared errors at all; state arrays are series x grid."""
         shape = (len(y), len(alpha))
         level = np.broadcast_to(level0[:, None], shape)
         trend = np.broadcast_to(trend0[:, None], shape)
@@ -191,17 +193,31 @@ def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
                 "seasonals": list(np.stack(upcoming, axis=1)),
             }
         )
+        return found, sse
+
+    def smooth(y: np.ndarray) -> pd.DataFrame:
+        """Fit series of equal length, one per row of ``y``."""
+        level0, trend0, season0 = starting_states(y)
+        season0 = np.stack(season0)
+        parts = [slice(i, i + grid_rows) for i in range(0, max(len(y), 1), grid_rows)]  # state arrays stay in the cache
+        parts = [search(y[p], level0[p], trend0[p], season0[:, p]) for p in parts]
+        found = pd.concat([part for part, _ in parts], ignore_index=True)
         if not steps or not len(y):
             return found
-        states = np.stack([level0, trend0, *season0], axis=1)
-        starts = [best] + [some[np.argmin(sse[:, some], axis=1)] for some in groups]
-        x = np.concatenate([np.concatenate([weights_of[start], states], axis=1) for start in starts])
-        tries = follow(np.tile(y, (len(starts), 1)), descend(np.tile(y, (len(starts), 1)), x))
-        for i in range(len(starts)):
-            other = tries.iloc[i * len(y) : (i + 1) * len(y)].reset_index(drop=True)
-            better = other["sse"].to_numpy() < found["sse"].to_numpy()
-            found = pd.concat([found[~better], other[better]]).sort_index()
-        return found
+        sse = np.concatenate([errors for _, errors in parts])
+        starts = np.stack([np.argmin(sse, axis=1)] + [some[np.argmin(sse[:, some], axis=1)] for some in groups])
+        # A start that several groups share is followed once.
+        new = np.stack([(starts[:i] != start).all(axis=0) for i, start in enumerate(starts)])
+        which, of = np.nonzero(new)
+        states = np.concatenate([level0[None], trend0[None], season0]).T
+        x = np.concatenate([weights_of[starts[which, of]], states[of]], axis=1)
+        tries = follow(y[of], descend(y[of], x))
+        reached, place = np.full(new.shape, np.inf), np.zeros(new.shape, int)
+        reached[which, of], place[which, of] = tries["sse"].fillna(np.inf), np.arange(len(of))
+        first, row = np.argmin(reached, axis=0), np.arange(len(y))
+        better = reached[first, row] < found["sse"].to_numpy()
+        chosen = tries.iloc[place[first, row][better]].set_axis(np.flatnonzero(better))
+        return pd.concat([found[~better], chosen]).sort_index()
 
     weights_of = np.stack([alpha, beta, gamma], axis=1)
     # The squared errors have several minima, mostly apart in the weight of the season and that of the level.
@@ -228,66 +244,102 @@ def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
             {"alpha": a, "beta": b, "gamma": c, "sse": sse, "sum_error": sum_error, "level": level, "trend": trend, "seasonals": list(upcoming)}
         )
 
-    def slopes(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sum of squares, half its gradient, Gauss-Newton matrix) over the unknowns: all of ``x`` but the last season value."""
+    def squares(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Sum of squared errors of each series, rounded as in :func:`slopes`."""
+        (a, b, c, level, trend), seasonals = x[:, :5].T.copy(), x[:, 5:].T.copy()
+        sse = np.zeros(len(y))
+        for t, value in enumerate(y.T.copy()):
+            i = t % season
+            base = level + trend
+            error = value - base - seasonals[i]
+            new = base + a * error
+            trend = b * (new - level) + (1 - b) * trend
+            seasonals[i] += c * error
+            level = new
+            sse += error * error
+        return sse
+
+    def slopes(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(half the gradient of the sum of squares, Gauss-Newton matrix) over the unknowns: all of ``x`` but the last season value."""
+        unknowns = x.shape[1] - 1
+        gradient, matrix = np.empty((len(y), unknowns)), np.empty((len(y), unknowns, unknowns))
+        for start in range(0, len(y), slope_rows):
+            rows = slice(start, start + slope_rows)
+            gradient[rows], matrix[rows] = slopes_of_some(y[rows], x[rows])
+        return gradient, matrix
+
+    def slopes_of_some(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`slopes` of rows whose arrays, unknowns x rows, stay in the cache. Months are added one after the other."""
         n, unknowns = len(y), x.shape[1] - 1
-        a, b, c, level, trend = x[:, :5].T
+        if n == 1:  # a lone row's last sum has no axis but the months, and would be taken in another order
+            gradient, matrix = slopes_of_some(np.repeat(y, 2, axis=0), np.repeat(x, 2, axis=0))
+            return gradient[:1], matrix[:1]
+        (a, b, c, level, trend), seasonals = x[:, :5].T.copy(), x[:, 5:].T.copy()
+        wide_a, wide_b, wide_c, wide_rest = (np.tile(w, (unknowns, 1)) for w in (a, b, c, 1 - b))
         unit = np.eye(unknowns)
-        d_level, d_trend = np.tile(unit[3], (n, 1)), np.tile(unit[4], (n, 1))
-        seasonals = list(x[:, 5:].T)
-        d_seasonals = [np.tile(unit[5 + i], (n, 1)) for i in range(season - 1)] + [np.tile(-unit[5:].sum(axis=0), (n, 1))]
-        sse, gradient, matrix = np.zeros(n), np.zeros((n, unknowns)), np.zeros((n, unknowns, unknowns))
-        for t in range(y.shape[1]):
+        d_level, d_trend = (np.repeat(unit[i][:, None], n, axis=1) for i in (3, 4))
+        d_seasonals = np.repeat(np.concatenate([unit[5:], -unit[5:].sum(axis=0, keepdims=True)])[:, :, None], n, axis=2)
+        d_new, product = np.empty((unknowns, n)), np.empty((unknowns, n))
+        # Of each month the errors, and their derivatives with the sign turned.
+        errors, falls = np.empty((y.shape[1], n)), np.empty((y.shape[1], unknowns, n))
+        for t, value in enumerate(y.T.copy()):
             i = t % season
-            base, d_base = level + trend, d_level + d_trend
-            error, d_error = y[:, t] - base - seasonals[i], -(d_base + d_seasonals[i])
-            new, d_new = base + a * error, d_base + a[:, None] * d_error
-            d_new[:, 0] += error
-            d_trend = b[:, None] * (d_new - d_level) + (1 - b)[:, None] * d_trend
-            d_trend[:, 1] += new - level - trend
+            base = level + trend
+            error = errors[t] = value - base - seasonals[i]
+            new = base + a * error
+            d_season, fall = d_seasonals[i], falls[t]
+            np.add(d_level, d_trend, out=d_new)
+            np.add(d_new, d_season, out=fall)
+            d_new -= np.multiply(fall, wide_a, out=product)
+            d_new[0] += error
+            np.subtract(d_new, d_level, out=product)
+            product *= wide_b
+            d_trend *= wide_rest
+            d_trend += product
+            d_trend[1] += new - level - trend
             trend = b * (new - level) + (1 - b) * trend
-            d_season = d_seasonals[i] + c[:, None] * d_error
-            d_season[:, 2] += error
-            d_seasonals[i], seasonals[i] = d_season, seasonals[i] + c * error
-            level, d_level = new, d_new
-            sse = sse + error * error
-            gradient += d_error * error[:, None]
-            matrix += d_error[:, :, None] * d_error[:, None, :]
-        return sse, gradient, matrix
+            d_season -= np.multiply(fall, wide_c, out=product)
+            d_season[2] += error
+            seasonals[i] += c * error
+            level, d_level, d_new = new, d_new, d_level
+        matrix = np.empty((n, unknowns, unknowns))
+        for j in range(unknowns):
+            column = np.einsum("tn,tkn->nk", falls[:, j], falls[:, j:])
+            matrix[:, j, j:], matrix[:, j:, j] = column, column
+        return -np.einsum("tkn,tn->nk", falls, errors), matrix
 
     def descend(y: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Better unknowns for each series, by damped steps that stay within the bounds of the weights."""
         damping, open_ = np.full(len(y), 1e-3), np.arange(len(y))
         x = x.copy()
         x[:, 5:] -= x[:, 5:].mean(axis=1, keepdims=True)
-        state = [s.copy() for s in slopes(y, x)]
+        sse, (gradients, matrices) = squares(y, x), slopes(y, x)
         for _ in range(steps):
             if not len(open_):
                 break
-            sse, gradient, matrix = (s[open_] for s in state)
+            before, gradient, matrix = sse[open_], gradients[open_], matrices[open_]
             # A weight at its bound that wants to go beyond stays there.
             held = np.zeros(gradient.shape, bool)
             held[:, :3] = ((x[open_, :3] <= 0) & (gradient[:, :3] > 0)) | ((x[open_, :3] >= 1) & (gradient[:, :3] < 0))
             scale = np.einsum("nii->ni", matrix).copy()
             scale[held | (scale <= 0)] = 1.0
             matrix[held], gradient[held] = 0.0, 0.0
-            matrix = matrix.transpose(0, 2, 1).copy()
-            matrix[held] = 0.0
-            n, k = scale.shape
+            matrix.transpose(0, 2, 1)[held] = 0.0
+            k = scale.shape[1]
             matrix[:, range(k), range(k)] += np.where(held, 1.0, 0.0) + scale * damping[open_, None] + 1e-12
             move = np.linalg.solve(matrix, -gradient[:, :, None])[:, :, 0]
             trial = x[open_].copy()
             trial[:, :-1] += move
             trial[:, :3] = np.clip(trial[:, :3], 0.0, 1.0)
             trial[:, -1] = -trial[:, 5:-1].sum(axis=1)
-            reached = slopes(y[open_], trial)
-            better = reached[0] < sse
-            at = open_[better]
-            x[at] = trial[better]
-            for s, r in zip(state, reached):
-                s[at] = r[better]
+            reached = squares(y[open_], trial)
+            better = reached < before
+            x[open_[better]], sse[open_[better]] = trial[better], reached[better]
             damping[open_] *= np.where(better, 0.2, 5.0)
-            gained = better & (sse - reached[0] > 1e-10 * sse)
+            gained = better & (before - reached > 1e-10 * before)
+            # Derivatives are taken where the descent goes on from, not at steps that are given up.
+            moved = open_[gained]
+            gradients[moved], matrices[moved] = slopes(y[moved], x[moved])
             open_ = open_[gained | (~better & (damping[open_] < 1e8))]
         return x
 
@@ -295,8 +347,8 @@ def _grid_search(season: int, grid: tuple[float, ...], steps: int = 0):
         lengths = series.map(len)
         parts = []
         for _, same in series.groupby(lengths):
-            for i in range(0, len(same), 256):  # bounds the state arrays
-                chunk = same.iloc[i : i + 256]
+            for i in range(0, len(same), at_once):  # bounds the state arrays
+                chunk = same.iloc[i : i + at_once]
                 parts.append(smooth(np.stack(chunk.to_list())).set_index(chunk.index))
         if not parts:
             return smooth(np.zeros((0, 2 * season)))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import numpy as np
 import pandas as pd
@@ -101,6 +102,28 @@ def test_optimised_fit_gives_the_same_bits_in_any_batch():
     assert len(fitted([])) == 0
 
 
+@pytest.mark.parametrize("rows", [{"SLOPE_ROWS": 1}, {"SLOPE_ROWS": 5, "GRID_ROWS": 2}, {"SERIES_AT_ONCE": 3}])
+def test_optimised_fit_gives_the_same_bits_in_blocks_of_any_size(monkeypatch, rows):
+    series = SERIES + [simulated(100 + i, 60, 0.3, 0.2, 0.4, 1.0) for i in range(4)] + [[7.0] * 48]
+    whole = fitted(series)
+    for name, n in rows.items():
+        monkeypatch.setattr(forecast, name, n)
+    blocks = fitted(series)
+    assert all(np.array_equal(p, q) for c in whole.columns for p, q in zip(whole[c], blocks[c]))
+
+
+def test_descent_costs_a_small_multiple_of_the_grid_search():
+    """CPU time against the grid search of the same series: measured 20 times, and 71 times with derivatives taken at every trial step."""
+    series = [simulated(i, 84, 0.3, 0.1, 0.2, 2.0) for i in range(300)]
+
+    def seconds(steps):
+        start = time.process_time()
+        fitted(series, steps)
+        return time.process_time() - start
+
+    assert min(seconds(forecast.STEPS) for _ in range(2)) < 40 * min(seconds(0) for _ in range(2))
+
+
 def test_optimised_fit_in_spark(spark):
     months = pd.date_range("2000-01-01", periods=240, freq="MS").date
     rows = [(f"s{i}", months[t], float(v)) for i, y in enumerate(SERIES) for t, v in enumerate(y)] + [("short", months[0], 1.0)]
